@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from screenline.plans import text_queries
+from screenline.plans import match_queries, text_queries
 
-MODULES = (text_queries,)
+MODULES = (text_queries.query, match_queries.query)
 
 
 def queries() -> dict:
-    return {n: q for m in MODULES for n, q in m.QUERIES.items()}
+    return {n: q for m in MODULES for n, q in m.queries.items()}
 
 
 def oracles() -> dict:
-    return {n: s for m in MODULES for n, s in m.ORACLES.items()}
+    return {n: s for m in MODULES for n, s in m.oracles.items()}

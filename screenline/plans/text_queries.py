@@ -8,23 +8,14 @@ from screenline.functions import fields as fl
 from screenline.functions import text as tx
 from screenline.operators.ranking import heading_fill
 from screenline.plans.oracle import MATCH, PAPERS, PROF, sentences, sql, squash
+from screenline.plans.registry import Registry
 from screenline.plans.views import papers, table
 from screenline.session import spread
 
 STOP = ("the", "and", "that", "was", "with", "les", "des", "und", "der", "que", "del")
 _STOP = "(" + ", ".join(f"'{s}'" for s in STOP) + ")"
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, oracle: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if oracle:
-            ORACLES[name] = oracle
-        return fn
-
-    return add
+query = Registry()
 
 
 def docs(spark, sf):
