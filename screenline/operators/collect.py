@@ -81,9 +81,8 @@ def _block_by_key(papers: DataFrame, r: DataFrame, venue: str) -> DataFrame:
     venues = named.select("_venue").distinct().where("_venue <> ''")
     lengths = r.select(F.length("norm_value").alias("n")).distinct()
     packed = lengths.agg(F.sort_array(F.collect_list("n")).alias("ns")).scalar()
-    keys = venues.withColumn("_n", F.explode(F.filter(packed, lambda n: n <= F.length(F.col("_venue"))))).withColumn(
-        "norm_value", F.expr("substring(_venue, 1, _n)")
-    )
+    keys = venues.withColumn("_ns", packed).withColumn("_n", F.explode("_ns")).drop("_ns")
+    keys = keys.where(F.col("_n") <= F.length("_venue")).withColumn("norm_value", F.expr("substring(_venue, 1, _n)"))
     whole = F.col("_n") == F.length("_venue")
     found = keys.join(r, "norm_value").where(whole | (F.col("match_type") == "journal_prefix"))
     rule = F.struct("rule_no", "match_type", "match_value", "rationale")

@@ -4,15 +4,20 @@ drop the nesting), so a small Arrow-batched helper reads each payload."""
 
 from __future__ import annotations
 
+import sys
 import xml.etree.ElementTree as ET
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenline.functions.fields import join_clean, year_of
 from screenline.functions.text import squash, text_of
 
+# Ship the helpers with the job: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Shortest usable body, smallest cached parser file.
 MIN_BODY_CHARS = 1000
 MIN_CACHED_BYTES = 500
@@ -146,14 +151,14 @@ def _read_details(xml: str | None) -> list[dict]:
     return out
 
 
-@F.pandas_udf(DETAILS)
-def _details(payloads: pd.Series) -> pd.Series:
-    return payloads.map(_read_details)
-
-
 def parse_article_details(df: DataFrame, xml: str = "xml") -> DataFrame:
     """Article payloads to (pmid, abstract, publication_types)."""
-    return df.select(F.inline(_details(F.col(xml))))
+
+    @F.pandas_udf(DETAILS)
+    def read(payloads: pd.Series) -> pd.Series:
+        return payloads.map(_read_details)
+
+    return df.select(F.inline(read(F.col(xml))))
 
 
 def manifest_cells(df: DataFrame) -> DataFrame:
