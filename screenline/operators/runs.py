@@ -13,15 +13,11 @@ from screenline.functions.text import is_blank, strip, text_of
 from screenline.operators.evidence import weak_keeps
 from screenline.operators.match import RUN_KEYS
 from screenline.operators.quality import (
-    advanced,
     coverage_counts,
     gate_open,
     in_final_phase,
     pass_readiness,
-    readable,
     readiness_reasons,
-    reviewed,
-    same_ids,
     strict_runs,
     union_all,
 )
@@ -36,54 +32,71 @@ def status_counts(state: DataFrame, status: str = "latest_status", keys: Sequenc
     return state.groupBy(*keys, status).agg(F.count("*").alias("n"))
 
 
-def _counts(df: DataFrame, keys: Sequence[str], **tests: Column | None) -> DataFrame:
-    aggs = [(F.count("*") if t is None else F.count_if(F.coalesce(t, F.lit(False)))).alias(n) for n, t in tests.items()]
-    return df.groupBy(*keys).agg(*aggs)
+Counted = tuple[DataFrame, Mapping[str, Column | None]]
 
 
-def _joined(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, list(keys), "full_outer")
-    return out.na.fill(0)
+def _tagged(specs: Sequence[Counted], keys: Sequence[str], ids: bool) -> DataFrame:
+    """Rows of all tables under each other, a 0/1 column per count; a count
+    with no test counts every row of its table."""
+    names = [n for _, tests in specs for n in tests]
+    parts = []
+    for df, tests in specs:
+        one = {n: F.lit(1) if t is None else F.coalesce(t, F.lit(False)).cast("int") for n, t in tests.items()}
+        cols = [one.get(n, F.lit(0)).alias(n) for n in names]
+        pid = strip(text_of(F.col("paper_id"))) if "paper_id" in df.columns else F.lit("")
+        parts.append(df.select(*keys, *([pid.alias("paper_id")] if ids else []), *cols))
+    return union_all(parts)
+
+
+def counted(specs: Sequence[Counted], keys: Sequence[str]) -> DataFrame:
+    """Counts over many tables per key in one aggregation: each task adds up
+    its rows of any table, so a single small exchange serves them all."""
+    names = [n for _, tests in specs for n in tests]
+    return _tagged(specs, keys, False).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
+
+
+def paper_marks(specs: Sequence[Counted], keys: Sequence[str] = KEYS) -> DataFrame:
+    """Per paper how many rows of each kind it has, over all stage tables."""
+    names = [n for _, tests in specs for n in tests]
+    return _tagged(specs, keys, True).groupBy(*keys, "paper_id").agg(*[F.sum(n).alias(n) for n in names])
 
 
 def run_counts(tables: Tables, keys: Sequence[str] = KEYS) -> DataFrame:
     """The report's counts, per run and pass."""
     c = F.col
-    parts = [
-        _counts(tables["paper_manifest"], keys, papers_retrieved=None),
-        _counts(tables["first_pass"], keys, abstract_includes=c("first_pass_decision") == "include"),
-        _counts(
+    request = c("shortlist_decision") == "request_pdf"
+    specs = [
+        (tables["paper_manifest"], {"papers_retrieved": None}),
+        (tables["first_pass"], {"abstract_includes": c("first_pass_decision") == "include"}),
+        (
             tables["second_pass"],
-            keys,
-            advance_to_import=c("promotion_decision") == "advance_to_import",
-            stopped=c("promotion_decision") == "stop",
+            {
+                "advance_to_import": c("promotion_decision") == "advance_to_import",
+                "stopped": c("promotion_decision") == "stop",
+            },
         ),
-        _counts(
+        (
             tables["import_status"],
-            keys,
-            text_usable=c("pmc_parse_status") == "usable",
-            text_unusable=c("pmc_parse_status") == "unusable",
-            no_automated_access=c("pmc_access_status") == "missing",
-            pdf_needed=c("pdf_needed").cast("string").isin("yes", "true"),
-            pdf_normalized=c("pdf_import_status") == "normalized",
-            normalized_total=~is_blank(c("normalized_path")),
+            {
+                "text_usable": c("pmc_parse_status") == "usable",
+                "text_unusable": c("pmc_parse_status") == "unusable",
+                "no_automated_access": c("pmc_access_status") == "missing",
+                "pdf_needed": c("pdf_needed").cast("string").isin("yes", "true"),
+                "pdf_normalized": c("pdf_import_status") == "normalized",
+                "normalized_total": ~is_blank(c("normalized_path")),
+            },
         ),
-        _counts(tables["fulltext_review"], keys, fulltext_keep=c("fulltext_decision") == "keep"),
-        _counts(
+        (tables["fulltext_review"], {"fulltext_keep": c("fulltext_decision") == "keep"}),
+        (
             tables["final_reading_list"],
-            keys,
-            relevant_unreadable=c("final_decision") == "abstract_relevant_fulltext_unavailable",
+            {"relevant_unreadable": c("final_decision") == "abstract_relevant_fulltext_unavailable"},
         ),
-        _counts(
+        (
             tables["pdf_download_shortlist"],
-            keys,
-            pdf_requests=c("shortlist_decision") == "request_pdf",
-            pdf_requests_high=(c("shortlist_decision") == "request_pdf") & (c("priority") == "high"),
+            {"pdf_requests": request, "pdf_requests_high": request & (c("priority") == "high")},
         ),
     ]
-    return _joined(parts, keys)
+    return counted(specs, keys)
 
 
 def tier_counts(evidence: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -99,7 +112,7 @@ QUEUE_ALERT = 0.50
 
 def queue_rate(queue: DataFrame, imports: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Share of imports waiting for a file, and whether that is too many."""
-    d = _joined([_counts(imports, keys, imports=None), _counts(queue, keys, queued=None)], keys)
+    d = counted([(imports, {"imports": None}), (queue, {"queued": None})], keys)
     r = ratio(F.col("queued"), F.col("imports"))
     return d.withColumn("queue_rate", r).withColumn("alert", (F.col("imports") > 0) & (F.col("queue_rate") > QUEUE_ALERT))
 
@@ -107,30 +120,33 @@ def queue_rate(queue: DataFrame, imports: DataFrame, keys: Sequence[str] = KEYS)
 def snapshot_counts(tables: Tables, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per run and pass, to be appended when a pass is put away."""
     c = F.col
-    parts = [
-        _counts(tables["paper_manifest"], keys, paper_manifest_rows=None),
-        _counts(tables["second_pass"], keys, advance_to_import=c("promotion_decision") == "advance_to_import"),
-        _counts(tables["import_status"], keys, import_status_rows=None),
-        _counts(tables["fulltext_review"], keys, fulltext_review_rows=None, fulltext_keep_count=c("fulltext_decision") == "keep"),
-        _counts(tables["manual_pdf_queue"], keys, manual_pdf_queue_rows=None),
-        _counts(tables["pmc_mechanism_feedback"], keys, completed_big_loop_count=None),
+    specs = [
+        (tables["paper_manifest"], {"paper_manifest_rows": None}),
+        (tables["second_pass"], {"advance_to_import": c("promotion_decision") == "advance_to_import"}),
+        (tables["import_status"], {"import_status_rows": None}),
+        (
+            tables["fulltext_review"],
+            {"fulltext_review_rows": None, "fulltext_keep_count": c("fulltext_decision") == "keep"},
+        ),
+        (tables["manual_pdf_queue"], {"manual_pdf_queue_rows": None}),
+        (tables["pmc_mechanism_feedback"], {"completed_big_loop_count": None}),
     ]
     last = latest_row(tables["pmc_mechanism_feedback"], list(keys), ["loop_id"]).select(
         *keys, F.col("loop_id").alias("latest_feedback_loop_id"), F.col("pdf_deferral_decision").alias("latest_pdf_deferral_decision")
     )
-    return _joined(parts, keys).join(last, list(keys), "left")
+    return counted(specs, keys).join(last, list(keys), "left")
 
 
 def state_summary(tables: Tables, papers: DataFrame, decisions: DataFrame, records: DataFrame) -> DataFrame:
     """Recorded state against the tables, per run and pass, with drift flags."""
     live = decisions.where("status <> 'superseded'")
-    d = _joined(
+    d = counted(
         [
-            _counts(tables["paper_manifest"], KEYS, manifest_rows=None),
-            _counts(tables["first_pass"], KEYS, first_pass_rows=None),
-            _counts(tables["second_pass"], KEYS, second_pass_rows=None),
-            _counts(records, KEYS, record_rows=None),
-            _counts(live, KEYS, active_decisions=None),
+            (tables["paper_manifest"], {"manifest_rows": None}),
+            (tables["first_pass"], {"first_pass_rows": None}),
+            (tables["second_pass"], {"second_pass_rows": None}),
+            (records, {"record_rows": None}),
+            (live, {"active_decisions": None}),
         ],
         KEYS,
     )
@@ -158,49 +174,75 @@ STAGES = (
 )
 
 
-def _blanks(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
-    bad = F.lit(False)
+def _any_blank(*cols: str) -> Column:
+    out = F.lit(False)
     for c in cols:
-        bad = bad | is_blank(F.col(c))
-    return df.groupBy(*KEYS).agg(F.count_if(bad).alias(name))
+        out = out | is_blank(F.col(c))
+    return out
 
 
-def stage_tests(tables: Tables, passes: DataFrame) -> DataFrame:
+def stage_sums(tables: Tables) -> DataFrame:
+    """Per run and pass the row and id counts all gates look at: one exchange
+    by paper over every stage table, one small one by run. Tables a caller does
+    not give count as empty."""
+    c = F.col
+    decided = strip(text_of(c("fulltext_decision")))
+    wanted = [
+        ("paper_manifest", {"m": None}),
+        ("first_pass", {"a": None, "a_blank": _any_blank("first_pass_decision", "first_pass_confidence", "triage_actor")}),
+        (
+            "second_pass",
+            {
+                "b": None,
+                "b_blank": _any_blank("second_pass_decision", "second_pass_confidence", "promotion_decision"),
+                "adv": strip(text_of(c("promotion_decision"))) == "advance_to_import",
+            },
+        ),
+        ("import_status", {"i": None, "i_text": ~is_blank(c("normalized_path"))}),
+        ("fulltext_review", {"r": None, "r_said": decided != "", "r_drop": decided == "drop"}),
+        ("evidence_extraction", {"e": None}),
+        ("fulltext_rescue", {"s": None}),
+        ("pmc_mechanism_feedback", {"f": None}),
+        ("manual_pdf_queue", {"q": None}),
+        ("pdf_download_shortlist", {"l": None, "l_ask": c("shortlist_decision") == "request_pdf"}),
+    ]
+    given = [(tables[t], tests) for t, tests in wanted if t in tables]
+    marks = paper_marks(given)
+    marks = marks.withColumns({n: F.lit(0) for t, tests in wanted if t not in tables for n in tests})
+    named = c("paper_id") != ""
+
+    def differ(x: str, y: str) -> Column:
+        return F.count_if(named & ((c(x) > 0) != (c(y) > 0)))
+
+    total = lambda n: F.sum(n).cast("long")
+    return marks.groupBy(*KEYS).agg(
+        total("m").alias("papers"),
+        (total("a") - total("m")).alias("first_rows"),
+        differ("m", "a").alias("first_ids"),
+        total("a_blank").alias("first_blank"),
+        (total("b") - total("m")).alias("second_rows"),
+        differ("m", "b").alias("second_ids"),
+        total("b_blank").alias("second_blank"),
+        differ("adv", "i").alias("import_ids"),
+        differ("i_text", "r").alias("review_ids"),
+        differ("r_said", "e").alias("evidence_ids"),
+        F.count_if(named & (c("r_drop") > 0) & (c("s") == 0)).alias("rescue_missing"),
+        total("i").alias("imports"),
+        total("r").alias("reviews"),
+        total("e").alias("evidence"),
+        total("r_drop").alias("drops"),
+        total("s").alias("rescues"),
+        total("f").alias("feedbacks"),
+        total("q").alias("queue"),
+        total("l").alias("shortlist"),
+        total("l_ask").alias("requests"),
+    )
+
+
+def stage_tests(sums: DataFrame, passes: DataFrame) -> DataFrame:
     """Per run and pass one boolean per stage, true while it is open.
     ``passes`` names the runs and passes asked about."""
-    m, a, b = tables["paper_manifest"], tables["first_pass"], tables["second_pass"]
-    i, r, e = tables["import_status"], tables["fulltext_review"], tables["evidence_extraction"]
-    drops = r.where(strip(text_of(F.col("fulltext_decision"))) == "drop")
-
-    def cover(x: DataFrame, y: DataFrame, name: str) -> DataFrame:
-        s = same_ids(x, y)
-        return s.select(
-            *KEYS,
-            (F.col("missing") + F.col("extra")).alias(f"{name}_ids"),
-            F.col("missing").alias(f"{name}_missing"),
-            (F.col("rows_a") - F.col("rows_b")).alias(f"{name}_rows"),
-        )
-
-    parts = [
-        _counts(m, KEYS, papers=None),
-        cover(m, a, "first"),
-        _blanks(a, ("first_pass_decision", "first_pass_confidence", "triage_actor"), "first_blank"),
-        cover(m, b, "second"),
-        _blanks(b, ("second_pass_decision", "second_pass_confidence", "promotion_decision"), "second_blank"),
-        cover(advanced(b), i, "import"),
-        cover(readable(i), r, "review"),
-        _counts(r, KEYS, reviews=None),
-        _counts(e, KEYS, evidence=None),
-        cover(reviewed(r), e, "evidence"),
-        _counts(drops, KEYS, drops=None),
-        _counts(tables["fulltext_rescue"], KEYS, rescues=None),
-        cover(drops, tables["fulltext_rescue"], "rescue"),
-        _counts(tables["pmc_mechanism_feedback"], KEYS, feedbacks=None),
-    ]
-    d = passes.select(*KEYS).distinct()
-    for p in parts:
-        d = d.join(p, KEYS, "left")
-    d = d.na.fill(0)
+    d = passes.select(*KEYS).distinct().join(sums, KEYS, "left").na.fill(0)
     c = F.col
     read = (c("reviews") > 0) & (c("evidence") > 0)
     tests = (
@@ -218,9 +260,9 @@ def stage_tests(tables: Tables, passes: DataFrame) -> DataFrame:
     return d.select(*KEYS, *[t.alias(s[0]) for s, t in zip(STAGES, tests)])
 
 
-def open_stages(tables: Tables, passes: DataFrame) -> DataFrame:
+def open_stages(tables: Tables, passes: DataFrame, sums: DataFrame | None = None) -> DataFrame:
     """Every open stage per run and pass, numbered in hand-off order."""
-    d = stage_tests(tables, passes)
+    d = stage_tests(stage_sums(tables) if sums is None else sums, passes)
     rows = F.array(
         *[
             F.struct(
@@ -237,8 +279,8 @@ def open_stages(tables: Tables, passes: DataFrame) -> DataFrame:
     return e.select(*KEYS, "s.stage_no", "s.trigger", "s.source_stage", "s.action")
 
 
-def first_open_stage(tables: Tables, passes: DataFrame) -> DataFrame:
-    d = open_stages(tables, passes)
+def first_open_stage(tables: Tables, passes: DataFrame, sums: DataFrame | None = None) -> DataFrame:
+    d = open_stages(tables, passes, sums)
     return d.groupBy(*KEYS).agg(F.min_by(F.struct("stage_no", "trigger", "source_stage", "action"), "stage_no").alias("s")).select(
         *KEYS, "s.*"
     )
@@ -288,45 +330,47 @@ def density_gate(tables: Tables) -> DataFrame:
     return _decision(g, 2, "final_prompt_fit_density_not_satisfied", "workflow_control", act)
 
 
-def run_facts(tables: Tables, passes: DataFrame, min_loops: int = 2, max_loops: int = 2) -> DataFrame:
-    """The counts the remaining triggers look at, per run and pass. Feedback is
+def run_facts(tables: Tables, passes: DataFrame, sums: DataFrame) -> DataFrame:
+    """What the remaining triggers look at, per run and pass. Feedback is
     counted up to the pass asked about."""
     fb = tables["pmc_mechanism_feedback"]
-    wants = ~is_blank(F.col("recommended_query_changes")) | ~is_blank(F.col("noise_keyword_families")) | ~is_blank(F.col("missing_keyword_families"))
-    here = fb.groupBy(*KEYS).agg(
-        F.count("*").alias("feedbacks"), F.bool_or((F.col("pdf_deferral_decision") == "defer_pdfs") & wants).alias("query_change")
-    )
+    wants = _any_filled("recommended_query_changes", "noise_keyword_families", "missing_keyword_families")
     p = passes.select(*KEYS).distinct()
-    upto = p.withColumnRenamed("pass_number", "_now").join(fb, "run_id").where(F.col("pass_number") <= F.col("_now"))
-    upto = upto.groupBy("run_id", F.col("_now").alias("pass_number")).agg(
+    f = fb.select(
+        "run_id",
+        F.col("pass_number").alias("_pass"),
+        "loop_id",
+        strip(text_of(F.col("pdf_deferral_decision"))).alias("_said"),
+        ((F.col("pdf_deferral_decision") == "defer_pdfs") & wants).alias("_change"),
+    )
+    upto = p.join(f, "run_id").where(F.col("_pass") <= F.col("pass_number"))
+    upto = upto.groupBy(*KEYS).agg(
         F.count("*").alias("all_feedbacks"),
-        F.max_by(strip(text_of(F.col("pdf_deferral_decision"))), F.struct(fb["pass_number"], F.col("loop_id"))).alias("latest"),
+        F.max_by("_said", F.struct("_pass", "loop_id")).alias("latest"),
+        F.bool_or(F.col("_change") & (F.col("_pass") == F.col("pass_number"))).alias("query_change"),
     )
-    phase = tables["settings"].select("run_id", text_setting(F.col("settings"), "access_phase", "pmc_learning").alias("access_phase"))
-    d = p.join(F.broadcast(phase), "run_id", "left")
-    for t in (
-        here,
-        upto,
-        _counts(tables["import_status"], KEYS, imports=None),
-        _counts(tables["manual_pdf_queue"], KEYS, queue=None),
-        _counts(
-            tables["pdf_download_shortlist"], KEYS, shortlist=None, requests=F.col("shortlist_decision") == "request_pdf"
-        ),
-        _counts(tables["fulltext_review"], KEYS, reviews=None),
-        _counts(tables["evidence_extraction"], KEYS, evidence=None),
-    ):
-        d = d.join(t, KEYS, "left")
-    d = d.na.fill(0).na.fill(False, ["query_change"]).na.fill("", ["latest"]).na.fill("pmc_learning", ["access_phase"])
-    return d
+    phase = tables["settings"].select(
+        "run_id", text_setting(F.col("settings"), "access_phase", "pmc_learning").alias("access_phase")
+    )
+    d = p.join(sums, KEYS, "left").join(upto, KEYS, "left").join(F.broadcast(phase), "run_id", "left")
+    return d.na.fill(0).na.fill(False, ["query_change"]).na.fill("", ["latest"]).na.fill("pmc_learning", ["access_phase"])
+
+
+def _any_filled(*cols: str) -> Column:
+    out = F.lit(False)
+    for c in cols:
+        out = out | ~is_blank(F.col(c))
+    return out
 
 
 def loop_decisions(tables: Tables, passes: DataFrame, min_loops: int = 2, max_loops: int = 2) -> DataFrame:
     """Every decision per run and pass, numbered; none gives one "no" row."""
     gate = review_gate(tables)
-    stage = first_open_stage(tables, passes).select(
+    sums = stage_sums(tables)
+    stage = first_open_stage(tables, passes, sums).select(
         *KEYS, "trigger", F.lit(True).alias("triggered"), "source_stage", "action", F.lit(1).alias("rank")
     )
-    f = run_facts(tables, passes, min_loops, max_loops)
+    f = run_facts(tables, passes, sums)
     f = f.join(gate.select(*KEYS, F.lit(True).alias("gate")), KEYS, "left").na.fill(False, ["gate"])
     c = F.col
     learning = c("access_phase") != "final_access"
@@ -378,7 +422,7 @@ def run_state(decisions: DataFrame, tables: Tables, passes: DataFrame, min_loops
     d = decisions.groupBy(*KEYS).agg(
         F.count_if("triggered").alias("active_loop_count"), F.min_by("action", "rank").alias("_action")
     )
-    f = run_facts(tables, passes, min_loops, max_loops).join(d, KEYS, "left").na.fill(0, ["active_loop_count"])
+    f = run_facts(tables, passes, stage_sums(tables)).join(d, KEYS, "left").na.fill(0, ["active_loop_count"])
     c = F.col
     loops, final = c("all_feedbacks"), c("latest") == "final_pdf_pass"
 

@@ -384,16 +384,6 @@ checked(
 )
 
 
-@query(
-    "validate_counts",
-    None,
-)
-def _(spark, sf):
-    """Every check at once, counted per run and kind."""
-    v = q.validate(stage_tables(spark, sf))
-    return v.groupBy("run_id", "pass_number", "check").agg(F.count("*").alias("n"))
-
-
 @query(
     "id_difference",
     """SELECT doc_id, 'missing' AS side FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
