@@ -413,3 +413,28 @@ def top_terms_per(counts: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     the shuffle."""
     w = W.partitionBy(*keys).orderBy(F.desc("n"), F.asc("term"))
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+# How many frequent words stand in for undeclared primary terms.
+FALLBACK_PRIMARY = 20
+
+
+def build_profile(declared: DataFrame, frequent: DataFrame, keys: Sequence[str] = RUN_KEYS) -> DataFrame:
+    """Profile (run, pass, role, term) from a contract's declared terms. A run
+    that declares no primary terms takes its 20 most frequent words; with no
+    mechanism, the other frequent words; with no outcome, the mechanism terms.
+    ``frequent`` is (run, pass, term, rank)."""
+    ks = list(keys)
+    d = declared.select(*ks, "role", "term").distinct()
+    runs = frequent.select(*ks).distinct()
+    has = d.groupBy(*ks).agg(*[F.count_if(F.col("role") == r).alias(f"_{r}") for r in ("primary", "mechanism", "outcome")])
+    runs = runs.join(has, ks, "left").na.fill(0)
+    f = frequent.select(*ks, "term", "rank").join(runs, ks)
+    spare = f.where((F.col("_primary") == 0) & (F.col("rank") <= FALLBACK_PRIMARY))
+    primary = d.where("role = 'primary'").unionByName(spare.select(*ks, F.lit("primary").alias("role"), "term"))
+    rest = f.where("_mechanism = 0").join(primary.select(*ks, "term"), [*ks, "term"], "left_anti")
+    mechanism = d.where("role = 'mechanism'").unionByName(rest.select(*ks, F.lit("mechanism").alias("role"), "term"))
+    no_outcome = runs.where("_outcome = 0").select(*ks)
+    copied = mechanism.join(no_outcome, ks, "left_semi").select(*ks, F.lit("outcome").alias("role"), "term")
+    others = d.where(~F.col("role").isin("primary", "mechanism"))
+    return primary.unionByName(mechanism).unionByName(others).unionByName(copied)

@@ -363,6 +363,9 @@ def _any_filled(*cols: str) -> Column:
     return out
 
 
+QUIET = 99
+
+
 def loop_decisions(tables: Tables, passes: DataFrame, min_loops: int = 2, max_loops: int = 2) -> DataFrame:
     """Every decision per run and pass, numbered; none gives one "no" row."""
     gate = review_gate(tables)
@@ -410,11 +413,13 @@ def loop_decisions(tables: Tables, passes: DataFrame, min_loops: int = 2, max_lo
     )
     more = f.select(*KEYS, F.explode(found).alias("d")).select(*KEYS, "d.*")
     every = union_all([gate, stage, density_gate(tables), more])
-    quiet = passes.select(*KEYS).distinct().join(every.select(*KEYS).distinct(), KEYS, "left_anti")
-    every = every.unionByName(_decision(quiet, 99, "no_loop_trigger", "workflow_control", "continue", False))
-    # At most a dozen rows per run and pass.
+    # Every pass gets a quiet row, which stays only where nothing else does. At
+    # most a dozen rows per run and pass are numbered.
+    quiet = passes.select(*KEYS).distinct()
+    every = every.unionByName(_decision(quiet, QUIET, "no_loop_trigger", "workflow_control", "continue", False))
     n = F.row_number().over(W.partitionBy(*KEYS).orderBy("rank"))
-    return every.select(*KEYS, F.concat(F.lit("loop_"), n.cast("string")).alias("loop_id"), *DECISION_COLUMNS)
+    every = every.withColumn("_n", n).where((F.col("rank") < QUIET) | (F.col("_n") == 1))
+    return every.select(*KEYS, F.concat(F.lit("loop_"), F.col("_n").cast("string")).alias("loop_id"), *DECISION_COLUMNS)
 
 
 def run_state(decisions: DataFrame, tables: Tables, passes: DataFrame, min_loops: int = 2, max_loops: int = 2) -> DataFrame:

@@ -2,9 +2,28 @@
 
 from __future__ import annotations
 
-from screenline.plans import collect_queries, fulltext_queries, match_queries, quality_queries, run_queries, text_queries
+from screenline.plans import (
+    access_queries,
+    collect_queries,
+    fulltext_queries,
+    match_queries,
+    quality_queries,
+    run_queries,
+    text_queries,
+)
 
-MODULES = (text_queries.query, match_queries.query, collect_queries.query, fulltext_queries.query, quality_queries.query, run_queries.query)
+MODULES = tuple(
+    m.query
+    for m in (
+        text_queries,
+        match_queries,
+        collect_queries,
+        fulltext_queries,
+        quality_queries,
+        run_queries,
+        access_queries,
+    )
+)
 
 
 def queries() -> dict:

@@ -70,16 +70,25 @@ class VersionedState:
         df.write.mode("overwrite").parquet(self.path(version))
 
 
-def stream_fold(stream: DataFrame, state: VersionedState, fold: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str) -> None:
-    """Fold each batch of rows into the state: ``fold(old, rows)``."""
+def stream_fold(
+    stream: DataFrame, state: VersionedState, fold: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str
+) -> int:
+    """Fold each batch of rows into the state, ``fold(old, rows)``; the last
+    version's number."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         state.write(fold(state.read(batch_id - 1), batch), batch_id)
 
-    (
-        stream.writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    return _each_batch(stream.writeStream, step, checkpoint)
+
+
+def run_counts(counts: DataFrame, state: VersionedState, checkpoint: str) -> int:
+    """Running counts as versions: each batch writes all counts so far."""
+    return _each_batch(counts.writeStream.outputMode("complete"), lambda batch, n: state.write(batch, n), checkpoint)
+
+
+def _each_batch(writer, step: Callable[[DataFrame, int], None], checkpoint: str) -> int:
+    q = writer.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    last = q.lastProgress
+    return last["batchId"] if last else -1
