@@ -85,10 +85,15 @@ def _locator() -> Column:
 
 
 def review_fulltext(
-    texts: DataFrame, profile: DataFrame, id_cols: Sequence[str] = ("paper_id",), keys: Sequence[str] = RUN_KEYS
+    texts: DataFrame,
+    profile: DataFrame,
+    id_cols: Sequence[str] = ("paper_id",),
+    keys: Sequence[str] = RUN_KEYS,
+    keep_terms: bool = False,
 ) -> DataFrame:
-    """Full texts (title, raw_text) with every review and evidence field.
-    ``branch`` is the reason code."""
+    """Full texts (title, raw_text) with every review and evidence field; the
+    rationale is a reason code. ``keep_terms`` also keeps the matched terms
+    per role, from which ``reading_pairs`` learns without a second reading."""
     d = fulltext_flags(texts, profile, id_cols, keys).withColumn("branch", reading_branch())
     names = list(OUTCOMES)
     table = F.create_map(
@@ -107,9 +112,17 @@ def review_fulltext(
         _locator().alias("supporting_text_locator"),
         *[c.alias(n) for n, c in learning_note().items()],
         (F.size("ft.terms_negative") > 0).alias("negative_found"),
+        *([F.col(f"ft.terms_{r}").alias(f"terms_{r}") for r in SCOPE_ROLES] if keep_terms else []),
     )
 
 
+def reading_pairs(reviewed: DataFrame, id_cols: Sequence[str] = ("paper_id",), keys: Sequence[str] = RUN_KEYS) -> DataFrame:
+    """Matched (paper, role, term) of a reading that kept its terms."""
+    per_role = F.array(*[F.struct(F.lit(r).alias("role"), F.col(f"terms_{r}").alias("terms")) for r in SCOPE_ROLES])
+    d = reviewed.select(*keys, *id_cols, F.explode(per_role).alias("m"))
+    return d.select(*keys, *id_cols, "m.role", F.explode("m.terms").alias("term"))
+
+
 def learning_note() -> dict[str, Column]:
     """What the paper teaches: a signal and the first terms of each role."""
     keep = F.col("_o.fulltext_decision") == "keep"

@@ -174,6 +174,11 @@ def reviewed(reviews: DataFrame) -> DataFrame:
     return reviews.where(~is_blank(F.col("fulltext_decision")))
 
 
+def pending_reviews(reviews: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Review rows without a decision, per run and pass."""
+    return reviews.groupBy(*keys).agg(F.count_if(is_blank(F.col("fulltext_decision"))).alias("pending"))
+
+
 def check_evidence_handoff(tables: Tables) -> DataFrame:
     return _difference(reviewed(tables["fulltext_review"]), tables["evidence_extraction"], "evidence_ids")
 

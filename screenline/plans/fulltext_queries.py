@@ -12,6 +12,7 @@ from screenline.plans.collect_queries import log_rows
 from screenline.plans.registry import Registry
 from screenline.plans.text_queries import EVIDENCE_WINDOWS
 from screenline.plans.views import papers, profile, table
+from screenline.session import cut
 from screenline.sources import markup, responses
 
 query = Registry()
@@ -312,19 +313,25 @@ learned AS (SELECT run_id, pass_number, bucket, term, count(DISTINCT paper_id) A
   WHERE bucket IS NOT NULL GROUP BY ALL)"""
 
 
-def learned(spark, sf):
-    t = texts(spark, sf)
-    text = F.concat(F.col("title"), F.lit("\n"), F.col("raw_text"))
-    return ev.learn_terms(match.matched_pairs(t, text, profile(spark)), reviewed(spark, sf))
+def reading(spark, sf):
+    """Decision and matched terms per paper, as a stored stage table: the texts
+    are read once for all that is learned from them."""
+    r = ev.review_fulltext(texts(spark, sf), profile(spark), keep_terms=True)
+    return cut(r.select(*IDS, "fulltext_decision", *[f"terms_{x}" for x in match.SCOPE_ROLES]))
+
+
+def learned(read):
+    return ev.learn_terms(ev.reading_pairs(read), read)
 
 
 @query("learn_terms", o.sql("SELECT * FROM learned", *READ, LEARNED))
 def _(spark, sf):
-    return learned(spark, sf)
+    return learned(reading(spark, sf))
 
 
 def feedback(spark, sf):
-    return ev.feedback(learned(spark, sf), reviewed(spark, sf), profile(spark))
+    read = reading(spark, sf)
+    return ev.feedback(learned(read), read, profile(spark))
 
 
 _RANKED = """runs AS (SELECT run_id, pass_number, count(*) AS n FROM review GROUP BY ALL),

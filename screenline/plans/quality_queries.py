@@ -123,6 +123,14 @@ checked(
     "fulltext_review",
     "stored",
 )
+@query(
+    "pending_reviews",
+    S + "SELECT run_id, pass_number, count(*) FILTER (WHERE fulltext_decision = '') AS pending FROM fulltext_review GROUP BY ALL",
+)
+def _(spark, sf):
+    return q.pending_reviews(stage_tables(spark, sf, "fulltext_review")["fulltext_review"])
+
+
 checked(
     "check_evidence_handoff",
     q.check_evidence_handoff,
