@@ -12,6 +12,7 @@ from screenline.functions.fields import access_status, feedback_phrases_of, int_
 from screenline.functions.text import is_blank, strip, text_of
 from screenline.operators.match import RUN_KEYS, phrase_matches
 from screenline.operators.ranking import latest_row
+from screenline.session import small
 
 IDS = (*RUN_KEYS, "paper_id")
 
@@ -67,7 +68,7 @@ def shortlist(
     )
     per_run = ready.select("run_id", learned.alias("_learned"), noise.alias("_noise")).join(terms, "run_id", "left")
     per_run = per_run.where(F.size("_learned") > 0)
-    d = enrich(queue, manifest, triage).join(F.broadcast(per_run), "run_id")
+    d = enrich(queue, manifest, triage).join(small(per_run), "run_id")
     text = F.concat_ws("\n", *[text_of(F.col(c)) for c in ("title", "abstract", "source_query")])
     none = F.array().cast("array<string>")
     d = d.withColumn("_text", text).withColumns(
@@ -140,7 +141,7 @@ def request_list(short: DataFrame, feedback: DataFrame) -> DataFrame:
     """The shortlist rows to be asked for, once a run's latest feedback says so."""
     last = latest_row(feedback, ["run_id"], ["pass_number", "loop_id"])
     final = last.where("pdf_deferral_decision = 'final_pdf_pass'").select("run_id")
-    d = short.where("shortlist_decision = 'request_pdf'").join(F.broadcast(final), "run_id", "left_semi")
+    d = short.where("shortlist_decision = 'request_pdf'").join(small(final), "run_id", "left_semi")
     return d.select(*RUN_KEYS, *REQUEST_FIELDS)
 
 
@@ -168,7 +169,7 @@ def final_reading_list(
     )
     phase = settings.select("run_id", "access_phase")
     adv = triage.where("promotion_decision = 'advance_to_import'").where(~is_blank(F.col("paper_id")))
-    adv = adv.join(F.broadcast(phase), "run_id", "left")
+    adv = adv.join(small(phase), "run_id", "left")
     adv = adv.where(F.coalesce("access_phase", F.lit("pmc_learning")) != "pmc_learning")
     adv = adv.select(*ids, "second_pass_rationale", "second_pass_confidence").join(kept.select(*ids), ids, "left_anti")
     unread = imports.where(is_blank(F.col("normalized_path")))

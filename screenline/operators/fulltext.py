@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from screenline.functions.fields import append_note, norm_doi, source_type, stored_name, text_setting
 from screenline.functions.text import is_blank, strip, text_of
 from screenline.operators.ranking import latest_per_key
+from screenline.session import small
 
 KEYS = ("run_id", "pass_number")
 IDS = (*KEYS, "paper_id")
@@ -50,10 +51,10 @@ def prior_usable(imports: DataFrame, read_state: DataFrame | None = None) -> Dat
     reading recorded earlier takes precedence. Rows are (run_id, pass_number,
     paper_id, prior), for each pass the run has."""
     cols = ("pmcid", "fulltext_access_route", "fulltext_xml_url", "fulltext_pdf_url", "normalized_path")
-    passes = imports.select(*KEYS).distinct().withColumnRenamed("pass_number", "_now")
+    passes = small(imports.select(*KEYS).distinct().withColumnRenamed("pass_number", "_now"))
     ok = imports.where(usable_import() & ~is_blank(F.col("paper_id")))
     per = latest_per_key(ok, IDS, ["normalized_path"])
-    later = per.join(F.broadcast(passes), "run_id").where(F.col("pass_number") < F.col("_now"))
+    later = per.join(passes, "run_id").where(F.col("pass_number") < F.col("_now"))
     best = later.groupBy("run_id", "paper_id", "_now").agg(
         F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("pass_number")).alias("prior")
     )
@@ -61,7 +62,7 @@ def prior_usable(imports: DataFrame, read_state: DataFrame | None = None) -> Dat
     if read_state is None:
         return best
     said = read_state.where(~is_blank(F.col("normalized_path")))
-    said = said.join(F.broadcast(passes), "run_id").where(F.col("last_read_pass") < F.col("_now"))
+    said = said.join(passes, "run_id").where(F.col("last_read_pass") < F.col("_now"))
     none = F.lit(None).cast("string")
     said = said.select(
         "run_id",
@@ -88,7 +89,7 @@ def route_imports(
     d = selected.where(F.trim("promotion_decision") == "advance_to_import")
     d = d.join(crosswalk.groupBy("pmid").agg(F.max("pmcid").alias("_pmcid")), "pmid", "left")
     d = d.join(lookups.dropDuplicates(["pmid"]), "pmid", "left")
-    d = d.join(prior, list(IDS), "left").join(F.broadcast(settings), list(KEYS), "left")
+    d = d.join(prior, list(IDS), "left").join(small(settings), list(KEYS), "left")
     alt = F.coalesce(use_alternate_lookup(F.coalesce("settings", F.create_map().cast("map<string,string>"))), F.lit(False))
     has = lambda c: ~is_blank(F.col(c))
     reused = ~is_blank(F.col("prior.normalized_path"))

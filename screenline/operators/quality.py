@@ -19,7 +19,7 @@ from screenline.operators.fulltext import usable_import
 from screenline.operators.match import RUN_KEYS
 from screenline.operators.ranking import latest_row
 from screenline.schemas import REQUIRED_COLUMNS, REVISION_LEARNING, REVISION_PATHS, VOCABULARY
-from screenline.session import local_table
+from screenline.session import local_table, small
 
 KEYS = list(RUN_KEYS)
 VIOLATIONS = "run_id string, pass_number int, check string, item string, detail string"
@@ -211,7 +211,7 @@ def in_final_phase(tables: Tables) -> DataFrame:
 def check_prompt_fit(tables: Tables) -> DataFrame:
     """Weakly backed keeps in the final phase."""
     w = weak_keeps(tables["fulltext_review"], tables["evidence_extraction"])
-    w = w.join(F.broadcast(in_final_phase(tables)), "run_id", "left_semi")
+    w = w.join(small(in_final_phase(tables)), "run_id", "left_semi")
     return _rows(w, "weak_keep", F.col("paper_id"), F.col("fulltext_decision"))
 
 
@@ -224,7 +224,7 @@ def check_final_list(tables: Tables) -> DataFrame:
     away = f.where(_t("final_decision") == "abstract_relevant_fulltext_unavailable")
     unread = tables["import_status"].where(is_blank(F.col("normalized_path")))
     phase = tables["settings"].select("run_id", text_setting(F.col("settings"), "access_phase", "pmc_learning").alias("_phase"))
-    phase = F.broadcast(phase)
+    phase = small(phase)
     d = id_difference(unread, away).join(phase, "run_id", "left").where("_phase <> 'pmc_learning'")
     early = distinct_ids(away).join(phase, "run_id", "left").where("_phase is null or _phase = 'pmc_learning'")
     return union_all(
@@ -258,8 +258,7 @@ def check_shortlist(tables: Tables, min_loops: int = 2) -> DataFrame:
     early = F.col("loops") < min_loops
     final = F.col("latest_decision") == "final_pdf_pass"
     ready = n.where(~early & final).select("run_id")
-    runs = F.broadcast(ready)
-    diff = id_difference(q, s, ["run_id"]).join(runs, "run_id", "left_semi")
+    diff = id_difference(q, s, ["run_id"]).join(ready, "run_id", "left_semi")
     return union_all(
         [
             _rows(n.where(early & final), "shortlist_early", F.lit("feedback"), "final_before_minimum"),
@@ -472,7 +471,7 @@ def strict_runs(df: DataFrame, tables: Tables) -> DataFrame:
         return df
     mode = text_setting(F.col("settings"), "pmc_fulltext_review_gate_mode", "all_available")
     lax = tables["settings"].where(mode != "all_available").select("run_id").distinct()
-    return df.join(F.broadcast(lax), "run_id", "left_anti")
+    return df.join(small(lax), "run_id", "left_anti")
 
 
 def check_listing(listing: DataFrame, names: Sequence[str], patterns: Sequence[str]) -> DataFrame:
@@ -488,7 +487,7 @@ def check_prior_payloads(payloads: DataFrame, state: DataFrame, active: DataFram
     """Payloads of earlier passes in runs that are complete."""
     done = state.where("status = 'complete'").select("run_id")
     a = active.select("run_id", F.col("pass_number").alias("_active"))
-    d = payloads.join(F.broadcast(done), "run_id", "left_semi").join(F.broadcast(a), "run_id")
+    d = payloads.join(small(done), "run_id", "left_semi").join(small(a), "run_id")
     return _rows(d.where(F.col("pass_number") < F.col("_active")), "prior_payload", F.col("paper_id"), "not_purged")
 
 

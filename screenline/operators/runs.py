@@ -23,6 +23,7 @@ from screenline.operators.quality import (
 )
 from screenline.operators.ranking import latest_row
 from screenline.schemas import REVISION_LEARNING, REVISION_PATHS
+from screenline.session import small
 
 KEYS = list(RUN_KEYS)
 Tables = Mapping[str, DataFrame]
@@ -156,7 +157,7 @@ def state_summary(tables: Tables, papers: DataFrame, decisions: DataFrame, recor
     by_status = papers.groupBy("run_id").agg(
         *[F.count_if(F.col("latest_status") == s).alias(f"papers_{s}") for s in ("collected", "advanced", "rejected", "superseded")]
     )
-    return d.join(F.broadcast(by_status), "run_id", "left")
+    return d.join(by_status, "run_id", "left")
 
 
 # Stages in hand-off order, with what closes each.
@@ -318,7 +319,7 @@ def density_gate(tables: Tables) -> DataFrame:
     """Weak keeps in the final phase send the run back to the query, or to the
     reading rules when any of their signals says so."""
     w = weak_keeps(tables["fulltext_review"], tables["evidence_extraction"])
-    w = w.join(F.broadcast(in_final_phase(tables)), "run_id", "left_semi").select(*KEYS, "paper_id").distinct()
+    w = w.join(small(in_final_phase(tables)), "run_id", "left_semi").select(*KEYS, "paper_id").distinct()
     any_ev = tables["evidence_extraction"].select(*KEYS).distinct()
     w = w.join(any_ev, KEYS, "left_semi")
     sig = tables["evidence_extraction"].select(*KEYS, "paper_id", strip(text_of(F.col("query_feedback_signal"))).alias("s"))
@@ -352,7 +353,7 @@ def run_facts(tables: Tables, passes: DataFrame, sums: DataFrame) -> DataFrame:
     phase = tables["settings"].select(
         "run_id", text_setting(F.col("settings"), "access_phase", "pmc_learning").alias("access_phase")
     )
-    d = p.join(sums, KEYS, "left").join(upto, KEYS, "left").join(F.broadcast(phase), "run_id", "left")
+    d = p.join(sums, KEYS, "left").join(upto, KEYS, "left").join(phase, "run_id", "left")
     return d.na.fill(0).na.fill(False, ["query_change"]).na.fill("", ["latest"]).na.fill("pmc_learning", ["access_phase"])
 
 

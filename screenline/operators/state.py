@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from screenline.functions.fields import id_or_pmid, payload_hash
 from screenline.functions.text import is_blank, strip, text_of
 from screenline.operators.ranking import latest_per_key
+from screenline.session import small
 
 PAPERS = (
     "run_id string, paper_id string, pmid string, doi string, title string, year string, first_seen_pass int, "
@@ -55,11 +56,11 @@ def supersede(papers: DataFrame, decisions: DataFrame, manifest: DataFrame, pass
     Runs with no manifest row are left alone. Returns both tables."""
     ids = manifest.withColumn("paper_id", id_or_pmid(F.col("paper_id"), F.col("pmid"))).where("paper_id is not null")
     ids = ids.select(*PAPER_KEY).distinct()
-    runs = ids.select("run_id").distinct().withColumn("_run", F.lit(True))
+    runs = small(ids.select("run_id").distinct().withColumn("_run", F.lit(True)))
     here = ids.withColumn("_here", F.lit(True))
 
     def mark(df: DataFrame, of_pass: Column) -> DataFrame:
-        d = df.join(here, list(PAPER_KEY), "left").join(F.broadcast(runs), "run_id", "left")
+        d = df.join(here, list(PAPER_KEY), "left").join(runs, "run_id", "left")
         return d.withColumn("_gone", of_pass & F.col("_run").isNotNull() & F.col("_here").isNull())
 
     gone = F.col("_gone")

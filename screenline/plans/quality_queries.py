@@ -415,7 +415,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Per nation: customers against the customers of its orders."""
-    nation = F.broadcast(table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("run_id")))
+    nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("run_id"))
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey").join(nation, "c_nationkey")
     a = c.select("run_id", F.col("c_custkey").cast("string").alias("paper_id"))
     o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")).join(c, "c_custkey")

@@ -13,6 +13,7 @@ from screenline.functions.fields import record_uri
 from screenline.functions.text import declared_terms, is_blank, norm_venue
 from screenline.operators.match import RUN_KEYS
 from screenline.operators.ranking import heading_fill, latest_per_key
+from screenline.session import small
 
 CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -89,7 +90,7 @@ def write_state_json(df: DataFrame, path: str) -> None:
 def purge_prior_payloads(payloads: DataFrame, active: DataFrame) -> DataFrame:
     """Payload rows of passes before the run's active one are dropped."""
     a = active.select("run_id", F.col("pass_number").alias("_active"))
-    d = payloads.join(F.broadcast(a), "run_id", "left")
+    d = payloads.join(small(a), "run_id", "left")
     return d.where(F.col("_active").isNull() | (F.col("pass_number") >= F.col("_active"))).drop("_active")
 
 
@@ -228,7 +229,7 @@ def compact_records(records: DataFrame, manifest: DataFrame, path: str) -> DataF
     wanted = manifest.groupBy(*RUN_KEYS).agg(F.count("*").alias("_wanted"))
     gate = wanted.join(stored, list(RUN_KEYS), "left")
     gate = gate.select(*RUN_KEYS, (F.coalesce("_stored", F.lit(0)) >= F.col("_wanted")).alias("compacted"))
-    d = manifest.join(F.broadcast(gate), list(RUN_KEYS), "left")
+    d = manifest.join(small(gate), list(RUN_KEYS), "left")
     uri = record_uri(F.col("pass_number"), F.col("paper_id"))
     return d.withColumn("record_path", F.when(F.col("compacted"), uri).otherwise(F.col("record_path")))
 
