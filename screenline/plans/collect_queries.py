@@ -8,7 +8,7 @@ from screenline.operators import collect, match, ranking, runs, state
 from screenline.plans import oracle as o
 from screenline.plans.registry import Registry
 from screenline.plans.text_queries import STOP
-from screenline.plans.views import PROFILE_TERMS, VENUE_RULES, local_table, papers, profile, table, venue_rules
+from screenline.plans.views import VENUE_RULES, papers, profile, table, venue_rules
 
 query = Registry()
 RUN = list(match.RUN_KEYS)
@@ -201,7 +201,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     h = table(spark, sf, "events").select(F.col("event_type").alias("query_id"), F.col("user_id").alias("pmid"))
-    return ranking.query_sample(h)
+    return ranking.query_sample(h).withColumn("sample_no", F.col("sample_no").cast("long"))
 
 
 @query(

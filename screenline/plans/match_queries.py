@@ -10,7 +10,7 @@ from screenline.operators.ranking import first_claim
 from screenline.plans import oracle as o
 from screenline.plans.registry import Registry
 from screenline.plans.text_queries import STOP, _STOP
-from screenline.plans.views import papers, profile, table
+from screenline.plans.views import LANGS, papers, profile, profile_for, table
 from screenline.session import spread
 
 query = Registry()
@@ -85,8 +85,6 @@ PHRASES = {"primary": ["of the", "ertion"], "mechanism": ["is the", "erat"], "ou
     ),
 )
 def _(spark, sf):
-    from screenline.plans.views import LANGS, profile_for
-
     prof = profile_for(spark, [(r, p) for r in LANGS for p in (1, 2)], PHRASES)
     d = match.paper_flags(papers(spark, sf).where(F.length("abstract") > 0), prof)
     return d.select("paper_id", F.col("flags.claim").alias("claim"))
@@ -130,7 +128,7 @@ def _topic_sql(n: int, pattern: str = tx.PRESCREEN_TOKEN) -> str:
     o.sql("SELECT run_id, pass_number, term, n, rank FROM topic", o.PAPERS, _topic_sql(60, tx.TRIAGE_TOKEN)),
 )
 def _(spark, sf):
-    return _topic(spark, sf, 60, tx.TRIAGE_TOKEN)
+    return _topic(spark, sf, 60, tx.TRIAGE_TOKEN).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(

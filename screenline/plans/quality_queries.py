@@ -410,7 +410,7 @@ def _(spark, sf):
 @query(
     "same_ids",
     """SELECT n.n_name AS run_id, count(DISTINCT c_custkey) AS rows_a, count(o_orderkey) AS rows_b, count(DISTINCT c_custkey) FILTER (WHERE o_orderkey IS NULL) AS missing,
-    0 AS extra, count(DISTINCT c_custkey) = count(o_orderkey) AND count(*) FILTER (WHERE o_orderkey IS NULL) = 0 AS same
+    CAST(0 AS BIGINT) AS extra, count(DISTINCT c_custkey) = count(o_orderkey) AND count(*) FILTER (WHERE o_orderkey IS NULL) = 0 AS same
     FROM customer JOIN nation n ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1""",
 )
 def _(spark, sf):

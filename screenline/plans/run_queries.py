@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from screenline.operators import runs
+from screenline.operators.evidence import prompt_fit, weak_keep_signals
 from screenline.plans.quality_queries import COVERAGE, READY, WEAK
 from screenline.plans.registry import Registry
 from screenline.plans.stages import ctes, passes, stage_tables
@@ -106,7 +107,7 @@ def _(spark, sf):
         _count("fulltext_review", record_rows="true"),
         _count("pass_decisions", active_decisions="true"),
     )
-    + ") LEFT JOIN (SELECT run_id, count(*) FILTER (WHERE pass_number = 1) AS papers_collected, count(*) FILTER (WHERE pass_number = 2) AS papers_rejected, 0 AS papers_advanced, 0 AS papers_superseded FROM paper_manifest GROUP BY run_id) USING (run_id)",
+    + ") LEFT JOIN (SELECT run_id, count(*) FILTER (WHERE pass_number = 1) AS papers_collected, count(*) FILTER (WHERE pass_number = 2) AS papers_rejected, CAST(0 AS BIGINT) AS papers_advanced, CAST(0 AS BIGINT) AS papers_superseded FROM paper_manifest GROUP BY run_id) USING (run_id)",
 )
 def _(spark, sf):
     t = stage_tables(spark, sf, "paper_manifest", "first_pass", "second_pass", "fulltext_review", "pass_decisions")
@@ -190,8 +191,6 @@ def _(spark, sf):
 
 @query("prompt_fit", S + f",\n{WEAK} SELECT paper_id, (run_id, pass_number, paper_id) NOT IN (SELECT run_id, pass_number, paper_id FROM weak) AS fit FROM fulltext_review")
 def _(spark, sf):
-    from screenline.operators.evidence import prompt_fit
-
     t = stage_tables(spark, sf, "fulltext_review", "evidence_extraction")
     return prompt_fit(*t.values()).select("paper_id", "fit")
 
@@ -203,8 +202,6 @@ def _(spark, sf):
     FROM (SELECT run_id, pass_number, paper_id, query_feedback_signal AS signal FROM evidence_extraction SEMI JOIN weak USING (run_id, pass_number, paper_id)) GROUP BY ALL""",
 )
 def _(spark, sf):
-    from screenline.operators.evidence import weak_keep_signals
-
     t = stage_tables(spark, sf, "fulltext_review", "evidence_extraction")
     return weak_keep_signals(*t.values()).withColumn("examples", F.array_join("examples", ";"))
 

@@ -33,7 +33,7 @@ def _(spark, sf):
 @query("squash", f"SELECT doc_id, md5({squash('text')}) AS squashed, length({squash('text')}) AS n FROM documents")
 def _(spark, sf):
     s = tx.squash(F.col("text"))
-    return docs(spark, sf).select("doc_id", F.md5(s).alias("squashed"), F.length(s).alias("n"))
+    return docs(spark, sf).select("doc_id", F.md5(s).alias("squashed"), F.length(s).cast("long").alias("n"))
 
 
 @query("compact_key", "SELECT page_id, regexp_replace(lower(url), '[^a-z0-9]', '', 'g') AS key FROM pages")
@@ -50,7 +50,7 @@ def _tokens(pattern):
     def run(spark, sf):
         t = tx.tokens(F.col("text"), STOP, pattern)
         return docs(spark, sf).select("doc_id", t.alias("t")).select(
-            "doc_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("toks")
+            "doc_id", F.size("t").cast("long").alias("n"), F.md5(F.array_join("t", " ")).alias("toks")
         )
 
     return run
