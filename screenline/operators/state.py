@@ -179,8 +179,10 @@ def fold_read_state(
     """Latest full-text reading per paper, with its evidence row if any; the
     pass of the first reading is kept."""
     ev_cols = ("evidence_tier", "directness", "target_centrality", "query_feedback_signal", "retention_role")
-    ev = evidence.where(~is_blank(F.col("paper_id"))).select(*PAPER_KEY, *[_text(c) for c in ev_cols])
-    ev = latest_per_key(ev, PAPER_KEY, ev_cols)
+    # Of several evidence rows the last counts, where rows are numbered.
+    place = F.col("row_no") if "row_no" in evidence.columns else F.lit(0)
+    ev = evidence.where(~is_blank(F.col("paper_id"))).select(*PAPER_KEY, *[_text(c) for c in ev_cols], place.alias("_no"))
+    ev = latest_per_key(ev, PAPER_KEY, ["_no", *ev_cols]).drop("_no")
     new = _keyed(review, order).join(ev, list(PAPER_KEY), "left")
     new = new.select(
         *PAPER_KEY,

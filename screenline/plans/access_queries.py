@@ -287,7 +287,7 @@ def _(spark, sf):
     """Small records to one table; French passes lack records and keep theirs."""
     p = papers(spark, sf)
     src = fresh(spark, "records")
-    p.where("run_id <> 'fr' or year > 2001").select(*KEYS, "paper_id", "title").write.json(src)
+    p.where("run_id <> 'fr'").select(*KEYS, "paper_id", "title").write.json(src)
     rec = spark.read.schema("run_id string, pass_number int, paper_id string, title string").json(src)
     manifest = p.select(*KEYS, "paper_id", F.lit("old").alias("record_path"))
     d = stage.compact_records(rec, manifest, fresh(spark, "compacted"))

@@ -154,12 +154,10 @@ def _(spark, sf):
       OR (len(t) > 0 AND len(list_filter(t, lambda x: contains(lower(text), x))) = len(t))""",
 )
 def _(spark, sf):
-    b = table(spark, sf, "benchmark")
     first = F.lower(tx.squash(F.get(F.split("text", tx.SENTENCE_GAP), F.lit(0))))
-    phrases = b.agg(F.collect_set(first).alias("p")).scalar()
-    d = spread(table(spark, sf, "documents")).select("doc_id", "text").withColumn("p", phrases)
-    hit = match.phrase_matches(F.col("text"), F.col("p"), STOP)
-    return d.select("doc_id", F.explode(hit).alias("phrase"))
+    phrases = table(spark, sf, "benchmark").select(first.alias("phrase"))
+    d = spread(table(spark, sf, "documents")).select("doc_id", "text")
+    return match.match_phrases(d, F.col("text"), phrases, STOP).select("doc_id", "phrase")
 
 
 # A profile learned from the data: frequent tokens per run, the role told by

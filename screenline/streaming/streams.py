@@ -88,7 +88,13 @@ def run_counts(counts: DataFrame, state: VersionedState, checkpoint: str) -> int
 
 
 def _each_batch(writer, step: Callable[[DataFrame, int], None], checkpoint: str) -> int:
-    q = writer.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Run a step per batch until the input is used up; the last batch's number."""
+    seen = [-1]
+
+    def noted(batch: DataFrame, n: int) -> None:
+        step(batch, n)
+        seen.append(n)
+
+    q = writer.foreachBatch(noted).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    last = q.lastProgress
-    return last["batchId"] if last else -1
+    return max(seen)

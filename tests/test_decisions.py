@@ -177,3 +177,12 @@ def test_prompt_fit(spark, rows):
     )
     got = {r.paper_id: r.fit for r in evidence.prompt_fit(reviews, ev).collect()}
     assert got == {"a": True, "b": False, "c": True, "d": False, "e": False}
+
+
+def test_phrases_in_several_rows(spark, rows, monkeypatch):
+    d = rows([(1, "The alpha beta gamma."), (2, "gamma then beta"), (3, None)], "i int, text string")
+    p = rows([("alpha beta",), ("beta gamma",), ("then",), ("",), ("nowhere",)], "phrase string")
+    want = {(1, "alpha beta"), (1, "beta gamma"), (2, "beta gamma"), (2, "then"), (1, "then")} - {(1, "then")}
+    for size in (2_000, 1):
+        monkeypatch.setattr(match, "PACK_PHRASES", size)
+        assert {(r.i, r.phrase) for r in match.match_phrases(d, F.col("text"), p).collect()} == want
