@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from screenline.llm import (
     decontaminate,
+    language_id,
+    license_scan,
     mixing,
     near_dedup,
     quality_rules,
+    recurrent_lm,
+    secret_scan,
     sharding,
     sql,
+    token_counts,
 )
 
 
@@ -37,9 +44,48 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(_read(spark, sf_dir, "documents"))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(_read(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    out = token_counts.prefix_table(_read(spark, sf_dir, "documents"), path)
+    limit = F.col("n_tokens") > token_counts.LIMIT
+    return out.select("doc_id", "n_bytes", "n_tokens", limit.alias("over_limit"), "fit_chars")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.learn(docs))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_quality_rules, op4_mixing, op9_near_dedup)}
-ORACLES = {"op1_decontamination": sql.CONTAINED_ITEMS}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.train(docs))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_sharding,
+        op3_quality_rules,
+        op4_mixing,
+        op5_license_scan,
+        op6_lm_scoring,
+        op7_token_counts,
+        op8_language_id,
+        op9_near_dedup,
+        op10_secret_scan,
+    )
+}
+ORACLES = {"op1_decontamination": sql.CONTAINED_ITEMS, "op5_license_scan": sql.licenses()}

@@ -1,5 +1,7 @@
 """SQL twins of the queries that SQL can express."""
 
+from screenline.llm import license_scan
+
 _WORDS = (
     r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
     r" '[^\x20\x09-\x0D]+')"
@@ -23,3 +25,33 @@ m AS (SELECT d.doc_id, b.item_id, count(*) AS c FROM d JOIN b ON d.s = b.s GROUP
 SELECT m.doc_id, m.item_id, n.n AS n_item_shingles, m.c AS n_common, m.c::DOUBLE / n.n AS containment
 FROM m JOIN n ON m.item_id = n.item_id
 WHERE 100 * m.c >= 75 * n.n"""
+
+
+def licenses() -> str:
+    """License notices in texts: every window of every text against every
+    template of its size class, by exact containment."""
+    quoted = ", ".join("('" + n.replace("'", "''") + "', '" + t.replace("'", "''") + "')" for n, t in license_scan.TEMPLATES)
+    words = (
+        r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+        r" 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    )
+    runs = "list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))"
+    return f"""
+WITH t AS (SELECT license, least(len(w), 5) AS k, w FROM (SELECT col0 AS license, {words.replace("text", "col1")} AS w
+    FROM (VALUES {quoted}))),
+ts AS (SELECT DISTINCT license, k, unnest({runs}) AS s FROM t),
+tn AS (SELECT license, k, count(*) AS n,
+    CASE WHEN count(*) <= 4 THEN 1 ELSE (1 << ceil(log2(count(*)))::INT) // 4 END AS stride,
+    CASE WHEN count(*) <= 4 THEN 1 << ceil(log2(count(*)))::INT ELSE (1 << ceil(log2(count(*)))::INT) // 4 * 5 END AS span
+    FROM ts GROUP BY ALL),
+dw AS (SELECT doc_id, {words} AS w FROM documents),
+ds AS (SELECT doc_id, k, s, p - 1 AS p FROM (SELECT doc_id, k, unnest({runs}) AS s, unnest(range(1, len(w) - k + 2)) AS p
+    FROM dw, (SELECT DISTINCT k FROM tn) WHERE len(w) >= k)),
+hit AS (SELECT doc_id, license, s, p, n, stride, span FROM ds JOIN ts USING (k, s) JOIN tn USING (license, k)),
+win AS (SELECT doc_id, license, n, s, unnest(range(greatest(0, (p - span + stride) // stride),
+    p // stride + 1)) * stride AS first FROM hit),
+c AS (SELECT doc_id, license, n, first, count(DISTINCT s) AS c FROM win GROUP BY ALL),
+ok AS (SELECT * FROM c WHERE 100 * c >= 75 * n)
+SELECT doc_id, license, max(n)::INT AS n_shingles, max(c)::INT AS n_common,
+    (arg_min(first, (-c) * 1000000000 + first))::INT AS first_window
+FROM ok GROUP BY doc_id, license"""
