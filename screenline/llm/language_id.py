@@ -27,7 +27,7 @@ WIDTHS = (2, 3, 4)
 BATCH = 32
 # Training documents per language, and windows of each, at most.
 DOCUMENTS, WINDOWS = 800, 4
-EPOCHS, STEP = 6, 0.004
+EPOCHS, LEAST_STEPS, STEP = 6, 500, 0.004
 UNKNOWN = "und"
 
 
@@ -104,7 +104,7 @@ class Network:
         m = {n: np.zeros_like(v) for n, v in self.w.items()}
         v = {n: np.zeros_like(w) for n, w in self.w.items()}
         step = 0
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-LEAST_STEPS * 64 // len(ids)))):
             order = rng.permutation(len(ids))
             for i in range(0, len(order), 64):
                 step += 1

@@ -87,6 +87,12 @@ def _shingles(words: Column, k: Column | int) -> Column:
     return F.when((F.size(words) >= k) & (k > 0), runs).otherwise(F.array().cast("array<bigint>"))
 
 
+def _made(df: DataFrame, **columns: Column) -> DataFrame:
+    """doc_id and new columns, behind a generator: else filters and lambdas that
+    use a column would have its whole expression written out inside them."""
+    return df.select("doc_id", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def size_class(n: int) -> int:
     return 1 << (n - 1).bit_length()
 
@@ -114,28 +120,31 @@ def _minimum(values: tuple[int, ...], mask: int) -> int:
     return min(v ^ mask for v in values)
 
 
+def _masked_minimum(values: str, mask: int) -> Column:
+    return F.array_min(F.transform(values, lambda v: v.bitwiseXOR(F.lit(mask))))
+
+
+def _windows(hashes: str, stride: int, length: int) -> Column:
+    starts = F.sequence(F.lit(0), F.size(hashes) - 1, F.lit(stride))
+    return F.transform(starts, lambda i: F.struct(i.alias("first"), F.slice(hashes, i + 1, F.lit(length)).alias("s")))
+
+
 def _of_width(docs: DataFrame, signed: list[tuple], k: int, percent: int) -> DataFrame:
     """Windows that contain a template of ``k`` words per shingle."""
     spark = docs.sparkSession
     mine = [(name, s) for name, width, s in signed if width == k]
-    held = docs.select("doc_id", _shingles(F.col("_words"), k).alias("h"))
+    held = _made(docs, h=_shingles(F.col("_words"), k))
     held = held.where(F.arrays_overlap("h", _long_array(sorted({v for _, s in mine for v in s}))))
     parts = []
     for size in sorted({size_class(len(s)) for _, s in mine}):
         stride, length = window(size)
-        starts = F.sequence(F.lit(0), F.size("h") - 1, F.lit(stride))
-        cut = held.select("doc_id", F.explode(F.transform(starts, lambda i, length=length: F.struct(
-            i.alias("first"), F.slice("h", i + 1, F.lit(length)).alias("s")
-        ))).alias("x")).select("doc_id", "x.first", "x.s")
-        keys = F.array(*[
-            F.struct(F.lit(b).alias("band"), F.array_min(F.transform("s", lambda v, m=m: v.bitwiseXOR(F.lit(m)))).alias("low"))
-            for b, m in enumerate(_MASKS)
-        ])
+        windows = held.select("doc_id", F.explode(_windows("h", stride, length)).alias("x")).select("doc_id", "x.first", "x.s")
+        keys = F.array(*[F.struct(F.lit(b).alias("band"), _masked_minimum("s", m).alias("low")) for b, m in enumerate(_MASKS)])
         members = [(name, s) for name, s in mine if size_class(len(s)) == size]
         index = [(b, _minimum(s, m), name, list(s)) for name, s in members for b, m in enumerate(_MASKS)]
         # At most BLOCK templates times BANDS rows.
         index = F.broadcast(local_table(spark, index, "band int, low long, license string, t array<long>"))
-        met = cut.select("doc_id", "first", "s", F.explode(keys).alias("key")).join(
+        met = windows.select("doc_id", "first", "s", F.explode(keys).alias("key")).join(
             index, (F.col("key.band") == F.col("band")) & (F.col("key.low") == F.col("low"))
         )
         common = F.size(F.array_intersect("s", "t"))
@@ -155,7 +164,7 @@ def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     match nothing; without templates, or documents, the result is empty.
     """
     signed = signed_templates(docs.sparkSession, TEMPLATES if templates is None else templates)
-    words = docs.select(F.col("doc_id").cast("long"), _words(F.col("text")).alias("_words"))
+    words = _made(docs.select(F.col("doc_id").cast("long"), "text"), _words=_words(F.col("text")))
     parts = []
     for i in range(0, len(signed), BLOCK):
         block = signed[i : i + BLOCK]
