@@ -53,11 +53,14 @@ def _steps(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def transitions(samples: list[str]) -> np.ndarray:
-    """Log probabilities of the next character after each one, half a count added."""
-    counts = np.full((_STATES, 65), 0.5)
+    """Log probabilities of the next character after each one; what was seen
+    too seldom after it leans on how often it was seen at all."""
+    counts = np.zeros((_STATES, 65))
     for s in samples:
         if s:
             np.add.at(counts, _steps(s), 1)
+    alone = counts.sum(axis=0) + 0.1
+    counts += 5 * alone / alone.sum()
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
