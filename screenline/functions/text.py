@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -130,6 +130,32 @@ def sentences_or_chunks(line: Column) -> Column:
     return F.when((F.size(parts) == 1) & (F.length(line) > CHUNK_CHARS), pieces).otherwise(parts)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _headings(lines: Column) -> Column:
+    """(first line, heading) of each stretch of lines under one heading."""
+    own = F.transform(lines, lambda x, i: F.struct(i.alias("at"), x["heading"].alias("heading")))
+    first = F.array(F.struct(F.lit(0).alias("at"), F.lit("full text").alias("heading")))
+    return F.concat(first, F.filter(own, lambda m: m["heading"].isNotNull()))
+
+
+def _under(lines: Column, marks: Column) -> Column:
+    """Per line its sentences with the last heading seen."""
+
+    def stretch(m: Column, i: Column) -> Column:
+        end = F.coalesce(F.get(marks, i + 1)["at"], F.size(lines))
+        return F.array_repeat(m["heading"], end - m["at"])
+
+    def cut(h: Column, line: Column) -> Column:
+        parts = F.filter(sentences_or_chunks(line["line"]), lambda s: s != "")
+        return F.transform(parts, lambda s: F.struct(h.alias("locator"), s.alias("window")))
+
+    return F.zip_with(F.flatten(F.transform(marks, stretch)), lines, cut)
+
+
 def evidence_windows(title: Column, text: Column) -> Column:
     """Array of (locator, window) over title and lines; the locator is the
     last heading seen."""
@@ -137,22 +163,7 @@ def evidence_windows(title: Column, text: Column) -> Column:
         F.length(text_of(title)) > 0,
         F.array(F.struct(F.lit("title").alias("locator"), F.lower(title).alias("window"))),
     ).otherwise(F.array().cast("array<struct<locator:string,window:string>>"))
-    lines = line_windows(text)
-    start = F.struct(F.lit("full text").alias("now"), F.array().cast("array<string>").alias("seen"))
-
-    def carry(acc: Column, line: Column) -> Column:
-        now = F.coalesce(line["heading"], acc["now"])
-        return F.struct(now.alias("now"), F.concat(acc["seen"], F.array(now)).alias("seen"))
-
-    carried = F.aggregate(lines, start, carry, lambda acc: acc["seen"])
-    body = F.zip_with(
-        carried,
-        lines,
-        lambda h, line: F.transform(
-            F.filter(sentences_or_chunks(line["line"]), lambda s: s != ""),
-            lambda s: F.struct(h.alias("locator"), s.alias("window")),
-        ),
-    )
+    body = bound(line_windows(text), lambda lines: bound(_headings(lines), lambda marks: _under(lines, marks)))
     return F.concat(head, F.flatten(body))
 
 

@@ -16,14 +16,15 @@ from screenline.session import small
 
 IDS = (*RUN_KEYS, "paper_id")
 
-# Feedback columns that carry learned and noise phrases.
+# Feedback columns that carry learned and noise phrases. Rule
+# changes are reason codes here, so they are no phrases to look for.
 LEARNED_FIELDS = (
     "direct_mechanisms",
     "supporting_mechanisms",
     "retained_keyword_families",
     "missing_keyword_families",
 )
-NOISE_FIELDS = ("noise_keyword_families", "recommended_abstract_rule_changes")
+NOISE_FIELDS = ("noise_keyword_families",)
 
 
 def enrich(rows: DataFrame, manifest: DataFrame, triage: DataFrame, keys: Sequence[str] = IDS) -> DataFrame:

@@ -104,8 +104,11 @@ def blocked(marked: DataFrame) -> DataFrame:
     )
 
 
-def drop_rejected(papers: DataFrame, state: DataFrame, keys: Sequence[str] = ("pmid",)) -> DataFrame:
-    """From the second pass on, papers rejected before do not come back."""
+def drop_rejected(papers: DataFrame, state: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """From the second pass on, papers rejected before do not come back. A
+    rejection belongs to its run where both sides tell the run."""
+    if keys is None:
+        keys = [k for k in ("run_id", "pmid") if k == "pmid" or (k in papers.columns and k in state.columns)]
     gone = state.where("latest_status = 'rejected'")
     gone = gone.where(~is_blank(F.col("pmid"))).select(*keys).distinct().withColumn("_gone", F.lit(True))
     if "pass_number" not in papers.columns:

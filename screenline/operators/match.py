@@ -10,6 +10,7 @@ text is shuffled and no pair of paper and term is ever materialised.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,22 +129,30 @@ def _candidates(df: DataFrame, profile: DataFrame, keys, id_cols, token_col: str
     """Add, per role, the profile's words among the tokens and its phrases
     inside the text (``_cand_<role>_words``, ``_cand_<role>_loose``). One
     packed row per run keeps it in the row; a profile of several slices is
-    merged by id. Returns the table and the roles that have phrases."""
+    merged by id and text, null ids too. Returns the table and the roles that have phrases."""
     packed, slices, loose = pack_profile(profile, keys)
     if loose and text_col == "_flat":
         df = df.withColumn("_flat", squash(F.col("_full")))
-    joined = df.join(packed, list(keys), "left")
+    rows = df
+    if slices > 1:
+        df = df.withColumn("_of", F.xxhash64(token_col, text_col))
+        id_cols = list(dict.fromkeys([*keys, *id_cols, "_of"]))
+        # Rows with one id and text are looked at once.
+        rows = df.select(*dict.fromkeys([*id_cols, token_col, text_col])).dropDuplicates(id_cols)
+    joined = rows.join(packed, list(keys), "left")
     none = F.array().cast("array<string>")
     found = {
         f"_cand_{r}_words": F.array_intersect(F.coalesce(F.col(f"{r}_words"), none), F.col(token_col)) for r in ROLES
     }
     for r in loose:
         found[f"_cand_{r}_loose"] = F.filter(F.coalesce(F.col(f"{r}_loose"), none), _loose_test(F.col(text_col), r))
-    out = joined.select(*df.columns, *[c.alias(n) for n, c in found.items()])
+    out = joined.select(*rows.columns, *[c.alias(n) for n, c in found.items()])
     if slices == 1:
         return out, loose
     merged = out.groupBy(*id_cols).agg(*[F.flatten(F.collect_list(c)).alias(c) for c in found])
-    return df.join(merged, list(id_cols), "left"), loose
+    named = merged.select(*[F.col(c).alias(f"_m_{c}") for c in id_cols], *found)
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(named[f"_m_{c}"]) for c in id_cols])
+    return df.join(named, same, "left").drop("_of", *[f"_m_{c}" for c in id_cols]), loose
 
 
 def _kinds(loose: Sequence[str], role: str) -> list[str]:

@@ -128,16 +128,17 @@ def _(spark, sf):
 
 @query(
     "merge_reports",
-    """WITH e AS (SELECT 'pmid-' || user_id AS paper_id, bool_or(event_type = 'click') AS isnew, bool_or(event_type = 'view') AS isold, bool_or(event_type IN ('error', 'signup')) AS staged FROM events WHERE week(ts) = 5 GROUP BY ALL)
-    SELECT paper_id, CASE WHEN isnew THEN 'new' WHEN isold THEN 'old' ELSE 'kept_from_earlier' END AS notes FROM e WHERE isnew OR staged""",
+    """WITH e AS (SELECT CAST(week(ts) AS INTEGER) AS pass_number, 'pmid-' || user_id AS paper_id, bool_or(event_type = 'click') AS isnew, bool_or(event_type = 'view') AS isold, bool_or(event_type IN ('error', 'signup')) AS staged FROM events GROUP BY ALL)
+    SELECT pass_number, paper_id, CASE WHEN isnew THEN 'new' WHEN isold THEN 'old' ELSE 'kept_from_earlier' END AS notes FROM e WHERE isnew OR staged""",
 )
 def _(spark, sf):
-    last = table(spark, sf, "events").where(F.weekofyear("ts") == 5)
+    """Every week is a pass."""
+    events = table(spark, sf, "events").withColumn("pass_number", F.weekofyear("ts"))
 
     def part(*kinds):
         u = F.col("user_id").cast("string")
-        d = last.where(F.col("event_type").isin(*kinds)).select(u.alias("pmid")).distinct()
-        return d.select(F.lit("r").alias("run_id"), F.lit(1).alias("pass_number"), F.concat(F.lit("pmid-"), F.col("pmid")).alias("paper_id"), "pmid", F.lit("").alias("doi"), F.lit("").alias("title"))
+        d = events.where(F.col("event_type").isin(*kinds)).select("pass_number", u.alias("pmid")).distinct()
+        return d.select(F.lit("r").alias("run_id"), "pass_number", F.concat(F.lit("pmid-"), F.col("pmid")).alias("paper_id"), "pmid", F.lit("").alias("doi"), F.lit("").alias("title"))
 
     def report(d, note):
         return d.select(
@@ -151,7 +152,7 @@ def _(spark, sf):
         )
 
     staged = part("error", "signup").withColumn("pdf_import_status", F.lit("staged_from_user_download"))
-    return access.merge_reports(report(part("click"), "new"), report(part("view"), "old"), staged).select("paper_id", "notes")
+    return access.merge_reports(report(part("click"), "new"), report(part("view"), "old"), staged).select("pass_number", "paper_id", "notes")
 
 
 # Files named after benchmark items; papers are the documents they occur in.

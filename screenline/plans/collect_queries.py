@@ -344,9 +344,15 @@ def _(spark, sf):
     return state.replay(decision_log(spark, sf))
 
 
-def folded(spark, sf, passes=range(1, 6)):
+def weeks(df, column):
+    """The numbers of the weeks of a year that occur, in order."""
+    return sorted(r[0] for r in df.select(column).distinct().collect())
+
+
+def folded(spark, sf):
     """The same state by folding week after week."""
     log = decision_log(spark, sf)
+    passes = weeks(log, "pass_number")
     p = spark.createDataFrame([], state.PAPERS)
     d = spark.createDataFrame([], state.DECISIONS)
     for n in passes:
@@ -400,12 +406,12 @@ RECORDS = (
 @query(
     "fold_records",
     """WITH r AS (SELECT week(ts) AS w, user_id, max(event_id) AS e FROM events GROUP BY ALL),
-    f AS (SELECT 1 AS pass_number, user_id, coalesce(max(e) FILTER (WHERE w = 2), max(e) FILTER (WHERE w = 1)) AS e FROM r WHERE w IN (1, 2) GROUP BY user_id)
+    f AS (SELECT 1 AS pass_number, user_id, arg_max(e, w) AS e FROM r GROUP BY user_id)
     SELECT pass_number, 'pmid-' || user_id AS paper_id, CAST(e AS VARCHAR) AS title, sha256('{"authors":["a","b"],"doi":"","journal":"j","paper_id":"pmid-' || user_id ||
       '","pmid":"' || user_id || '","retrieval_batch":"20240101","source_queries":["q"],"title":"' || e || '","year":"2024"}') AS sha256 FROM f""",
 )
 def _(spark, sf):
-    """A pass collected twice: the second week's rows replace the first's."""
+    """A pass collected again every week: later rows replace earlier ones."""
     e = table(spark, sf, "events").groupBy(F.weekofyear("ts").alias("w"), "user_id").agg(F.max("event_id").alias("e"))
     rec = e.select(
         "w",
@@ -421,7 +427,7 @@ def _(spark, sf):
         F.lit("20240101").alias("retrieval_batch"),
     )
     r = spark.createDataFrame([], RECORDS)
-    for w in (1, 2):
+    for w in weeks(rec, "w"):
         r = state.fold_records(r, rec.where(F.col("w") == w).drop("w"), 1)
     return r.select("pass_number", "paper_id", "title", "sha256")
 

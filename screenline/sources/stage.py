@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,10 +95,17 @@ def purge_prior_payloads(payloads: DataFrame, active: DataFrame) -> DataFrame:
 
 
 def read_venue_rules(spark: SparkSession, path: str) -> DataFrame:
-    """Rules with their place in the file and normal form."""
+    """Rules with their place (file by file in order of name, then row by row)
+    and normal form."""
     schema = "match_type string, match_value string, rationale string"
     d = spark.read.schema(schema).options(**CSV).csv(path)
-    d = d.withColumn("rule_no", F.monotonically_increasing_id().cast("long"))
+    # A file is one task, which reads its rows in order; files go by name.
+    d = d.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    files = d.groupBy("_file").agg(F.min("_row").alias("_first"))
+    files = files.withColumn("_nth", F.row_number().over(Window.orderBy("_file")) - 1)
+    d = d.join(small(files), "_file")
+    rule_no = F.col("_nth") * F.lit(1 << 33) + F.col("_row") - F.col("_first")
+    d = d.withColumn("rule_no", rule_no.cast("long")).drop("_file", "_row", "_first", "_nth")
     ok = ~is_blank(F.col("match_type")) & ~is_blank(F.col("match_value"))
     return d.where(ok).withColumn("norm_value", norm_venue(F.col("match_value")))
 

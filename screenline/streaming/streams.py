@@ -69,32 +69,38 @@ class VersionedState:
     def write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(self.path(version))
 
+    def last(self) -> int:
+        """The number of the last version that was written to its end, -1 for none."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.folder)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return -1
+        found = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("v=")]
+        whole = [p for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return max((int(p.getName()[2:]) for p in whole), default=-1)
+
 
 def stream_fold(
     stream: DataFrame, state: VersionedState, fold: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str
 ) -> int:
-    """Fold each batch of rows into the state, ``fold(old, rows)``; the last
-    version's number."""
+    """Fold each batch of rows into the state, ``fold(old, rows)``; the number
+    of the state's last version, also where nothing new came in."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         state.write(fold(state.read(batch_id - 1), batch), batch_id)
 
-    return _each_batch(stream.writeStream, step, checkpoint)
+    _each_batch(stream.writeStream, step, checkpoint)
+    return state.last()
 
 
 def run_counts(counts: DataFrame, state: VersionedState, checkpoint: str) -> int:
     """Running counts as versions: each batch writes all counts so far."""
-    return _each_batch(counts.writeStream.outputMode("complete"), lambda batch, n: state.write(batch, n), checkpoint)
-
-
-def _each_batch(writer, step: Callable[[DataFrame, int], None], checkpoint: str) -> int:
-    """Run a step per batch until the input is used up; the last batch's number."""
-    seen = [-1]
+    _each_batch(counts.writeStream.outputMode("complete"), lambda batch, n: state.write(batch, n), checkpoint)
+    return state.last()
 
-    def noted(batch: DataFrame, n: int) -> None:
-        step(batch, n)
-        seen.append(n)
 
-    q = writer.foreachBatch(noted).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _each_batch(writer, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Run a step per batch until the input is used up."""
+    q = writer.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return max(seen)
