@@ -545,15 +545,37 @@ def completed(name: str, df: DataFrame) -> DataFrame:
     return df.select("*", *[F.lit(None).cast("string").alias(c) for c in lost])
 
 
-def validate(tables: Tables) -> DataFrame:
-    """Every check whose tables are there, as one table of violations. A
-    missing column is reported once and read as blank by the other checks."""
+def validate(
+    tables: Tables,
+    names: Sequence[str] | None = None,
+    patterns: Sequence[str] = (),
+    required: Sequence[str] | None = None,
+) -> DataFrame:
+    """Every check as one table of violations. A missing column is reported
+    once and read as blank by the other checks. A check that lacks a table is
+    reported as ``not_run`` with the table's name, so no gap passes unseen.
+
+    The checks of files take the table ``listing`` and the declared ``names``,
+    ``patterns`` and ``required`` paths, the one of old payloads the tables
+    ``payloads`` and ``active`` (run_id, pass_number)."""
     full = {n: completed(n, t) for n, t in tables.items()}
-    parts = []
-    for check in CHECKS:
+    checks = {c.__name__: (lambda c=c: c(tables if c is check_columns else full)) for c in CHECKS}
+    checks["check_prior_payloads"] = lambda: check_prior_payloads(full["payloads"], full["workflow_state"], full["active"])
+    if names is not None:
+        checks["check_listing"] = lambda: check_listing(full["listing"], names, patterns)
+    if required is not None:
+        checks["check_required"] = lambda: check_required(full["listing"], required)
+    parts, lost = [], []
+    for name, check in checks.items():
         try:
-            parts.append(check(tables if check is check_columns else full))
-        except (KeyError, IndexError):
-            # A table this check needs is not among those given.
-            continue
+            parts.append(check())
+        except KeyError as e:
+            if e.args[0] in tables:
+                raise
+            lost.append((None, None, "not_run", name, f"no table {e.args[0]}"))
+        except IndexError:
+            # A check over several tables, none of which is given.
+            lost.append((None, None, "not_run", name, "no table of those it reads"))
+    if lost:
+        parts.append(local_table(next(iter(tables.values())).sparkSession, lost, VIOLATIONS))
     return union_all(parts)
