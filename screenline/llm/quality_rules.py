@@ -37,7 +37,7 @@ FEATURES = (
     "mean_word",
     "dup_line_share",
     "repeat_share",
-    "distinct_share",
+    "richness",
 )
 
 
@@ -105,7 +105,8 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         share("word_chars", "n_words").alias("mean_word"),
         share("n_dup_lines", "n_lines").alias("dup_line_share"),
         share("n_repeat_words", "n_words").alias("repeat_share"),
-        share("_kinds", "n_words").alias("distinct_share"),
+        # Distinct words fall off with length, their logarithm's share hardly does.
+        (F.log(F.col("_kinds") + 1.0) / F.log(F.col("n_words") + 1.5)).alias("richness"),
     )
 
 
