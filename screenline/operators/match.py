@@ -27,7 +27,7 @@ from screenline.functions.text import (
     windows,
     words,
 )
-from screenline.session import small
+from screenline.session import fits, small
 
 # Roles a term can have in a run's scope contract. "claim" and
 # "review_term" are word lists the caller supplies alongside the contract.
@@ -381,9 +381,9 @@ def overlap_terms(df: DataFrame, topic: DataFrame, text: Column, stop: Sequence[
     """Add ``overlap``: sorted tokens of the text that are topic terms of the
     run (tables of (run_id, pass_number, term), 80 terms by default)."""
     packed = topic.groupBy(*RUN_KEYS).agg(F.collect_set("term").alias("_topic"))
-    found = df.withColumn("_tok", F.array_distinct(tokens(text, stop, PRESCREEN_TOKEN))).join(
-        small(packed, 64), list(RUN_KEYS), "left"
-    )
+    # The bound is on terms, whatever the number of runs and passes.
+    packed = F.broadcast(packed) if fits(topic, BROADCAST_TERMS) else packed
+    found = df.withColumn("_tok", F.array_distinct(tokens(text, stop, PRESCREEN_TOKEN))).join(packed, list(RUN_KEYS), "left")
     both = F.array_sort(F.array_intersect("_tok", F.coalesce("_topic", F.array().cast("array<string>"))))
     return found.withColumn("overlap", both).drop("_tok", "_topic")
 

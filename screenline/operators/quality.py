@@ -113,6 +113,14 @@ def check_columns(tables: Tables) -> DataFrame:
     return local_table(spark, rows, VIOLATIONS)
 
 
+def check_headers(headers: DataFrame, name: str) -> DataFrame:
+    """Required columns that a stage table's files lack, per run and pass
+    (``headers``: run_id, pass_number, columns)."""
+    want = F.array(*[F.lit(c) for c in REQUIRED_COLUMNS[name]])
+    d = headers.select(*KEYS, F.explode(F.array_except(want, "columns")).alias("lost")).distinct()
+    return _rows(d, "missing_column", F.lit(name), F.col("lost"))
+
+
 def check_values(tables: Tables) -> DataFrame:
     """Blank or undeclared values in columns with a vocabulary."""
     parts = []

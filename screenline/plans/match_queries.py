@@ -148,14 +148,14 @@ def _(spark, sf):
 
 @query(
     "phrase_matches",
-    rf"""WITH ph AS (SELECT DISTINCT lower({o.squash(o.sentences('text') + '[1]')}) AS phrase FROM benchmark),
+    rf"""WITH ph AS (SELECT DISTINCT phrase FROM (SELECT lower({o.squash('s')}) AS phrase FROM (SELECT unnest({o.sentences('text')}) AS s FROM benchmark)) WHERE phrase <> ''),
     tk AS (SELECT phrase, list_filter(regexp_extract_all(phrase, '{tx.TRIAGE_TOKEN}'), lambda x: x NOT IN {_STOP})[1:4] AS t FROM ph)
     SELECT doc_id, phrase FROM documents, tk WHERE contains(lower(text), phrase)
       OR (len(t) > 0 AND len(list_filter(t, lambda x: contains(lower(text), x))) = len(t))""",
 )
 def _(spark, sf):
-    first = F.lower(tx.squash(F.get(F.split("text", tx.SENTENCE_GAP), F.lit(0))))
-    phrases = table(spark, sf, "benchmark").select(first.alias("phrase"))
+    sentence = F.explode(F.split("text", tx.SENTENCE_GAP)).alias("s")
+    phrases = table(spark, sf, "benchmark").select(sentence).select(F.lower(tx.squash(F.col("s"))).alias("phrase"))
     d = spread(table(spark, sf, "documents")).select("doc_id", "text")
     return match.match_phrases(d, F.col("text"), phrases, STOP).select("doc_id", "phrase")
 

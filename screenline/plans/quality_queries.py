@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from screenline.operators import quality as q
@@ -9,6 +11,8 @@ from screenline.plans.registry import Registry
 from screenline.plans.stages import ctes, settings, stage_tables
 from screenline.plans.views import table
 from screenline.schemas import REVISION_LEARNING, REVISION_PATHS, VOCABULARY
+from screenline.session import shared_dir
+from screenline.sources import stage
 
 query = Registry()
 S = "WITH " + ctes() + "\n"
@@ -86,14 +90,31 @@ _LACK = {
     "fulltext_review": "",
     "evidence_extraction": "pmid title evidence_type evidence_summary supporting_text_locator",
 }
-checked(
+# A column that the files of one run lack besides.
+_DROPPED = {"first_pass": "synthesis_role", "fulltext_review": "topic_centrality", "evidence_extraction": "retention_role"}
+
+
+@query(
     "check_columns",
-    q.check_columns,
-    "SELECT CAST(NULL AS VARCHAR) AS run_id, CAST(NULL AS INTEGER) AS pass_number, 'missing_column' AS \"check\", item, detail FROM (VALUES "
-    + ", ".join(f"('{t}', '{c}')" for t, cs in _LACK.items() for c in cs.split())
-    + ") v(item, detail) WHERE (SELECT count(*) FROM documents) > 0",
-    *_LACK,
+    S
+    + " UNION ALL ".join(
+        f"""SELECT run_id, pass_number, 'missing_column' AS "check", '{t}' AS item, detail
+        FROM (SELECT DISTINCT run_id, pass_number FROM {t}) k JOIN (VALUES {", ".join(f"('{c}', {c == _DROPPED[t]})" for c in [*cs.split(), _DROPPED[t]])}) v(detail, late)
+        ON NOT late OR run_id = 'de'"""
+        for t, cs in _LACK.items()
+    ),
 )
+def _(spark, sf):
+    """Stage tables as CSV files by run and pass, and what their headers lack."""
+    parts = []
+    for name, t in stage_tables(spark, sf, *_LACK).items():
+        path = f"{shared_dir(spark)}/headers-{uuid.uuid4().hex}"
+        late = F.col("run_id") == "de"
+        for d in (t.where(~late), t.where(late).drop(_DROPPED[name])):
+            d.write.mode("append").partitionBy("run_id", "pass_number").option("header", "true").csv(path)
+        parts.append(q.check_headers(stage.read_headers(spark, path), name))
+    return q.union_all(parts)
+
 
 checked(
     "check_triage_coverage",

@@ -45,6 +45,22 @@ def read_passes(spark: SparkSession, path: str, schema: str | T.StructType, run_
     return d.where(F.col("run_id") == run_id) if run_id is not None else d
 
 
+def read_headers(spark: SparkSession, path: str) -> DataFrame:
+    """run_id, pass_number and columns of each CSV file of a stage table kept in
+    folders by run and pass. Of a large file only the first split is read."""
+    d = spark.read.option("basePath", path).text(path)
+    d = d.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("run_id").cast("string"),
+        F.col("pass_number").cast("int"),
+        F.col("_metadata.file_path").alias("file"),
+        "value",
+        F.monotonically_increasing_id().alias("line"),
+    )
+    first = d.groupBy(*RUN_KEYS, "file").agg(F.min_by("value", "line").alias("header"))
+    names = F.transform(F.split("header", ","), lambda c: F.btrim(c, F.lit('" ')))
+    return first.select(*RUN_KEYS, names.alias("columns"))
+
+
 def union_passes(*passes: DataFrame) -> DataFrame:
     out = passes[0]
     for p in passes[1:]:
