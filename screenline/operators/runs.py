@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from screenline.functions.fields import ratio, text_setting
+from screenline.functions.fields import int_setting, ratio, text_setting
 from screenline.functions.text import is_blank, strip, text_of
 from screenline.operators.evidence import weak_keeps
 from screenline.operators.match import RUN_KEYS
@@ -367,15 +367,39 @@ def _any_filled(*cols: str) -> Column:
 QUIET = 99
 
 
-def loop_decisions(tables: Tables, passes: DataFrame, min_loops: int = 2, max_loops: int = 2) -> DataFrame:
-    """Every decision per run and pass, numbered; none gives one "no" row."""
+def loop_bounds(settings: DataFrame, least: int = 2, most: int = 2) -> DataFrame:
+    """run_id, min_loops and max_loops as each run's settings have them; the
+    most is never below the least."""
+    low = F.coalesce(int_setting(F.col("settings"), "min_big_workflow_loops", least), F.lit(least))
+    high = F.coalesce(int_setting(F.col("settings"), "max_workflow_loops", most), F.lit(most))
+    return settings.select("run_id", low.alias("min_loops"), F.greatest(low, high).alias("max_loops"))
+
+
+def _bounded(f: DataFrame, bounds: DataFrame | None, least: int, most: int) -> tuple[DataFrame, Column, Column]:
+    if bounds is None:
+        return f, F.lit(least), F.lit(most)
+    f = f.join(bounds.select("run_id", "min_loops", "max_loops"), "run_id", "left")
+    return f, F.coalesce("min_loops", F.lit(least)), F.coalesce("max_loops", F.lit(most))
+
+
+def loop_decisions(
+    tables: Tables,
+    passes: DataFrame,
+    min_loops: int = 2,
+    max_loops: int = 2,
+    bounds: DataFrame | None = None,
+    sums: DataFrame | None = None,
+) -> DataFrame:
+    """Every decision per run and pass, numbered; none gives one "no" row. The
+    bounds on loops are those of the run (``loop_bounds``), where given."""
     gate = review_gate(tables)
-    sums = stage_sums(tables)
+    sums = stage_sums(tables) if sums is None else sums
     stage = first_open_stage(tables, passes, sums).select(
         *KEYS, "trigger", F.lit(True).alias("triggered"), "source_stage", "action", F.lit(1).alias("rank")
     )
     f = run_facts(tables, passes, sums)
     f = f.join(gate.select(*KEYS, F.lit(True).alias("gate")), KEYS, "left").na.fill(False, ["gate"])
+    f, min_loops, max_loops = _bounded(f, bounds, min_loops, max_loops)
     c = F.col
     learning = c("access_phase") != "final_access"
     many = (c("imports") > 0) & (ratio(c("queue"), c("imports")) > QUEUE_ALERT) & learning
@@ -423,12 +447,23 @@ def loop_decisions(tables: Tables, passes: DataFrame, min_loops: int = 2, max_lo
     return every.select(*KEYS, F.concat(F.lit("loop_"), F.col("_n").cast("string")).alias("loop_id"), *DECISION_COLUMNS)
 
 
-def run_state(decisions: DataFrame, tables: Tables, passes: DataFrame, min_loops: int = 2, max_loops: int = 2) -> DataFrame:
-    """One row per run and pass: status, signal and next action."""
+def run_state(
+    decisions: DataFrame,
+    tables: Tables,
+    passes: DataFrame,
+    min_loops: int = 2,
+    max_loops: int = 2,
+    bounds: DataFrame | None = None,
+    sums: DataFrame | None = None,
+) -> DataFrame:
+    """One row per run and pass: status, signal and next action; ``bounds`` and
+    ``sums`` as for ``loop_decisions``."""
     d = decisions.groupBy(*KEYS).agg(
         F.count_if("triggered").alias("active_loop_count"), F.min_by("action", "rank").alias("_action")
     )
-    f = run_facts(tables, passes, stage_sums(tables)).join(d, KEYS, "left").na.fill(0, ["active_loop_count"])
+    sums = stage_sums(tables) if sums is None else sums
+    f = run_facts(tables, passes, sums).join(d, KEYS, "left").na.fill(0, ["active_loop_count"])
+    f, min_loops, max_loops = _bounded(f, bounds, min_loops, max_loops)
     c = F.col
     loops, final = c("all_feedbacks"), c("latest") == "final_pdf_pass"
 
@@ -456,8 +491,8 @@ def run_state(decisions: DataFrame, tables: Tables, passes: DataFrame, min_loops
         c("_v.action").alias("next_action"),
         "active_loop_count",
         loops.alias("completed_big_loop_count"),
-        F.lit(min_loops).alias("min_big_workflow_loops"),
-        F.lit(max_loops).alias("max_workflow_loops"),
+        min_loops.alias("min_big_workflow_loops"),
+        max_loops.alias("max_workflow_loops"),
         c("latest").alias("latest_pdf_deferral_decision"),
         c("queue").alias("manual_pdf_queue_count"),
         c("shortlist").alias("pdf_download_shortlist_count"),

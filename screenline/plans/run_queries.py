@@ -10,6 +10,7 @@ from screenline.plans.quality_queries import COVERAGE, READY, WEAK
 from screenline.plans.registry import Registry
 from screenline.plans.stages import ctes, passes, stage_tables
 from screenline.schemas import REVISION_LEARNING, REVISION_PATHS
+from screenline.session import cut
 
 query = Registry()
 S = "WITH " + ctes()
@@ -259,7 +260,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     t, p = stage_tables(spark, sf, *_ALL), passes(spark, sf)
-    d = runs.run_state(runs.loop_decisions(t, p), t, p)
+    sums = cut(runs.stage_sums(t))
+    d = runs.run_state(runs.loop_decisions(t, p, sums=sums), t, p, sums=sums)
     return d.drop("min_big_workflow_loops", "max_workflow_loops")
 
 

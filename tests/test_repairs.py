@@ -70,3 +70,13 @@ def test_locators_are_the_last_heading(rows, body):
         now = now if line.endswith(".") else line
         want += [(now, s) for s in line.replace(". ", ".|").split("|")]
     assert [tuple(w) for w in got] == want
+
+
+def test_loop_bounds_are_the_runs_own(spark, rows):
+    from screenline.operators import runs
+
+    d = spark.createDataFrame(
+        [("a", {"min_big_workflow_loops": "3"}), ("b", {"max_workflow_loops": "5"}), ("c", {})], "run_id string, settings map<string,string>"
+    )
+    got = {r["run_id"]: (r["min_loops"], r["max_loops"]) for r in runs.loop_bounds(d).collect()}
+    assert got == {"a": (3, 3), "b": (2, 5), "c": (2, 2)}
