@@ -30,7 +30,8 @@ def _round(links: DataFrame, large: bool) -> DataFrame:
         out = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             low.select(F.col("_u").alias("u"), F.col("m").alias("v"))
         )
-    return out.where("u > v").distinct()
+    out = out.where("u > v")
+    return out if large else out.distinct()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -10,10 +10,11 @@
    for chance agreement, is clearly below the threshold are let go; all others
    are confirmed on their full sets.
 4. The links give components. In band keys that still hold several components,
-   every member outside the most frequent component is paired with the members
-   of other components, filtered and confirmed in the same way. So no link
-   between bucket members is lost, and members known to be connected are never
-   paired again.
+   every member outside the most frequent component is compared with the members
+   of other components: in small ones pair by pair, filtered and confirmed in
+   the same way; in large ones in blocks of bounded size, of which only links
+   leave. So no link between bucket members is lost, members known to be
+   connected are not compared again, and a large group makes no table of pairs.
 
 A pair at similarity 0.75 shares a band with probability 1 - 5e-6; the bit count
 passes it with probability 1 - 4e-5.
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 
 from screenline.llm import components as comp
 from screenline.llm import shingles as sh
-from screenline.session import cut
+from screenline.session import cut, small
 
 SIZE = 5
 PERCENT = 75
@@ -45,6 +46,11 @@ HASHES = BANDS * ROWS
 WORDS = HASHES // 64
 # The bit count's standard error at 0.75 is 0.046; four of them below it.
 MARGIN = 0.18
+# Members of a band key that are compared pair by pair, at most; and the sets of
+# larger ones on each side of a block.
+HOT, BLOCK = 64, 256
+# Nodes whose sets are asked for by broadcast, at most.
+NAMED = 200_000
 # Nodes of texts without a doc_id lie from here on; doc_ids lie below.
 NAMELESS = 1 << 62
 
@@ -163,23 +169,27 @@ def similarity(left: str, right: str) -> Column:
     return (F.lit(1.0) - differ / F.lit(float(HASHES)) - F.lit(0.25)) / F.lit(0.75)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets have 100 * |both| >= percent * |either|."""
-    named = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+def sets_named(named: DataFrame, docs: DataFrame) -> DataFrame:
+    """id, shingles: the sets of the nodes in ``named`` (id), made again from the
+    texts. Up to NAMED ids are broadcast, so that no text is moved for them."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    wanted = rows.join(named.where("id is not null"), F.col("doc_id") == F.col("id"), "left_semi")
+    wanted = rows.join(small(named, NAMED), F.col("doc_id") == F.col("id"), "left_semi")
     # Rows without an id are named after their sets, so all of them are looked at.
-    sets = (
-        wanted.unionAll(rows.where("doc_id is null"))
-        .mapInArrow(_sets, "doc_id long, fp binary, shingles array<long>")
-        .where("fp is not null")
-        .select(_node(F.col("doc_id"), F.col("fp")).alias("id"), "shingles")
-    )
+    sets = wanted.unionAll(rows.where("doc_id is null")).mapInArrow(_sets, "doc_id long, fp binary, shingles array<long>")
+    return sets.where("fp is not null").select(_node(F.col("doc_id"), F.col("fp")).alias("id"), "shingles")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets have 100 * |both| >= percent * |either|."""
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     met = pairs.select("a", "b").join(one, "a").join(two, "b")
     met = met.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("n"), (F.size("sa") + F.size("sb")).alias("m"))
-    return met.where(100 * F.col("n") >= percent * (F.col("m") - F.col("n"))).select("a", "b").distinct()
+    return met.where(100 * F.col("n") >= percent * (F.col("m") - F.col("n"))).select("a", "b")
 
 
 def classes_of(base: DataFrame) -> DataFrame:
@@ -201,46 +211,144 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return met.where(similarity("x", "y") >= percent / 100 - MARGIN).select("q.a", "q.b").distinct()
 
 
+def _one_id(base: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of one doc_id: they belong together."""
+    h = F.xxhash64("fp")
+    many = base.where("fp is not null and doc_id is not null").groupBy("doc_id").agg(F.min(h).alias("x"), F.max(h).alias("y"))
+    many = many.where("x <> y").select("doc_id")
+    met = base.join(many, "doc_id").join(classes.select("fp", "node"), "fp")
+    return met.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+
+
 def link_components(docs: DataFrame, base: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, component) of every node that is linked with another one."""
     bands = classes.select("node", F.explode("bands").alias("key"))
     buckets = bands.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
-    buckets = buckets.where("low < high")
-    stars = bands.join(buckets, "key").where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    stars = cut(_likely(stars.distinct(), classes, percent))
-    # Texts under one doc_id belong together.
-    named = base.where("fp is not null and doc_id is not null").select("doc_id", "fp").distinct()
-    many = named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    same = (
-        named.join(many, "doc_id")
-        .join(classes.select("fp", "node"), "fp")
-        .select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    )
-    links = cut(confirm(stars, docs, percent).unionAll(same))
-    found = comp.components(links)
-
-    # Buckets of three or more whose members are still apart.
-    member = bands.join(buckets.where("n > 2").select("key"), "key")
-    member = member.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    counts = member.groupBy("key", "component").agg(F.count("*").alias("n"))
-    most = counts.groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("parts")
-    )
-    member = cut(member.join(most.where("parts > 1"), "key").join(classes.select("node", *_PLANES), "node"))
-    stray = member.where("component != most")
-    met = stray.alias("x").join(
+    members = cut(bands.join(buckets.where("low < high"), "key").select("key", "node", "low", "n"))
+    stars = members.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    stars = cut(_likely(stars, classes, percent))
+    sure = confirm(stars, sets_named(_ends(stars).distinct(), docs), percent)
+    found = comp.components(sure.unionAll(_one_id(base, classes)))
+
+    # Buckets whose members are still apart: large ones in blocks, small ones
+    # pair by pair; pairs of one family are met in its blocks.
+    apart = cut(_apart(members.where("n > 2"), found).join(classes.select("node", *_PLANES), "node"))
+    families = apart.where(F.col("n") > HOT).select(F.col("most").alias("family"), "node", "component", *_PLANES)
+    families = cut(families.dropDuplicates(["family", "node"]))
+    home = families.groupBy("node").agg(F.min("family").alias("family"))
+    member = apart.where(F.col("n") <= HOT).join(home, "node", "left")
+    met = member.where("component != most").alias("x").join(
         member.alias("y"),
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.component") != F.col("y.component"))
         # Two strays meet once.
         & ((F.col("y.component") == F.col("y.most")) | (F.col("x.node") > F.col("y.node")))
+        & ~F.coalesce(F.col("x.family") == F.col("y.family"), F.lit(False))
         & (similarity("x", "y") >= percent / 100 - MARGIN),
     )
     more = met.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
     more = cut(more.join(stars, ["a", "b"], "left_anti"))
-    if more.isEmpty():
-        return found
-    return comp.components(links.unionAll(confirm(more, docs, percent)))
+    likely = cut(_likely_members(families, percent))
+    sets = cut(sets_named(_ends(more).unionAll(likely.select(F.col("node").alias("id"))).distinct(), docs))
+    links = confirm(more, sets, percent).unionAll(_family_links(likely, sets, percent))
+    # Links between components make components of components.
+    for end in ("a", "b"):
+        own = found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        links = links.join(own, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    links = cut(links.select("of_a", "of_b").distinct())
+    joined = comp.components(links, "of_a", "of_b").select(F.col("node").alias("was"), F.col("component").alias("now"))
+    out = found.join(joined, F.col("component") == F.col("was"), "full_outer")
+    return out.select(F.coalesce("node", "was").alias("node"), F.coalesce("now", "component").alias("component"))
+
+
+def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
+    """key, n, node, component and most (the most frequent component) of the
+    members of buckets that hold several components."""
+    member = members.join(found, "node", "left")
+    member = member.select("key", "n", "node", F.coalesce("component", "node").alias("component"))
+    counts = member.groupBy("key", "component").agg(F.count("*").alias("k"))
+    most = counts.groupBy("key").agg(
+        F.max_by("component", F.struct("k", (-F.col("component")).alias("c"))).alias("most"), F.count("*").alias("parts")
+    )
+    return member.join(most.where("parts > 1").select("key", "most"), "key")
+
+
+def _blocks(families: DataFrame, size: int) -> DataFrame:
+    """Rows of families dealt to blocks of about ``size`` strays by ``size``
+    members: every stray meets every member of its family in one block."""
+    stray = F.col("component") != F.col("family")
+    n = families.groupBy("family").agg(
+        F.ceil(F.count("*") / size).alias("across"), F.greatest(F.ceil(F.count_if(stray) / size), F.lit(1)).alias("down")
+    )
+    rows = families.join(n, "family")
+    i, j = F.pmod(F.xxhash64("node", F.lit(1)), "down"), F.pmod(F.xxhash64("node", F.lit(2)), "across")
+    whole = rows.select("*", F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("i"), j.alias("j"))
+    part = rows.where(stray).select("*", F.lit(True).alias("left"), i.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("j"))
+    return whole.unionByName(part).drop("across", "down")
+
+
+def _likely_members(families: DataFrame, percent: int) -> DataFrame:
+    """family, node, component of the members of families that have a partner
+    in another component whose packed bits allow the threshold."""
+    least = percent / 100 - MARGIN
+
+    def likely(block: pd.DataFrame) -> pd.DataFrame:
+        x, y = block[block["left"]], block[~block["left"]]
+        p, q = (b[_PLANES].to_numpy(np.int64).view(np.uint64) for b in (x, y))
+        differ = np.zeros((len(x), len(y)), np.int16)
+        for w in range(WORDS):
+            bits = (p[:, None, w] ^ q[None, :, w]) | (p[:, None, WORDS + w] ^ q[None, :, WORDS + w])
+            differ += np.bitwise_count(bits)
+        near = (1 - differ / HASHES - 0.25) / 0.75 >= least
+        near &= x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :]
+        out = pd.concat([x[near.any(axis=1)], y[near.any(axis=0)]])
+        return out[["family", "node", "component"]].drop_duplicates()
+
+    blocks = _blocks(families, 4 * BLOCK).groupBy("family", "i", "j")
+    return blocks.applyInPandas(likely, "family long, node long, component long").distinct()
+
+
+def _family_links(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the strays of each family with other components in it:
+    full sets meet in blocks, and only links leave a block."""
+
+    def linked(block: pd.DataFrame) -> pd.DataFrame:
+        x, y = block[block["left"]], block[~block["left"]]
+        both = common(x["shingles"].tolist(), y["shingles"].tolist())
+        size = [b["shingles"].map(len).to_numpy() for b in (x, y)]
+        good = 100 * both >= percent * (size[0][:, None] + size[1][None, :] - both)
+        good &= x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :]
+        at, to = np.nonzero(good)
+        return pd.DataFrame({"a": x["node"].to_numpy()[at], "b": y["node"].to_numpy()[to]}, dtype="int64")
+
+    blocks = _blocks(families, BLOCK).join(sets, F.col("node") == F.col("id"))
+    return blocks.groupBy("family", "i", "j").applyInPandas(linked, "a long, b long")
+
+
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of two lists of sets, by a product of 0/1
+    matrices over the numbers on both sides, some thousand columns at a time."""
+    out = np.zeros((len(left), len(right)), np.float64)
+    if not left or not right:
+        return out
+    a, b = np.concatenate(left), np.concatenate(right)
+    kinds = np.intersect1d(a, b)
+    rows = [np.repeat(np.arange(len(s)), [len(v) for v in s]) for s in (left, right)]
+    places = []
+    for v, r in zip((a, b), rows, strict=True):
+        at = np.minimum(np.searchsorted(kinds, v), max(0, len(kinds) - 1))
+        hit = kinds[at] == v if len(kinds) else np.zeros(len(v), bool)
+        places.append((r[hit], at[hit]))
+    for start in range(0, len(kinds), 4096):
+        width = min(4096, len(kinds) - start)
+        m = []
+        for (r, at), n in zip(places, (len(left), len(right)), strict=True):
+            part = (at >= start) & (at < start + width)
+            one = np.zeros((n, width), np.float32)
+            one[r[part], at[part] - start] = 1
+            m.append(one)
+        out += m[0] @ m[1].T
+    return out
 
 
 def decisions(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -288,8 +396,9 @@ def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     kept = made.where("doc_id is not null and (component is null or component = doc_id)").select("doc_id").distinct()
     named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
     # Rows without a doc_id: one of each component that has no other row.
-    nameless = docs.where("doc_id is null").withColumn("_fp", _print_of("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    nameless = docs.where("doc_id is null").select(row, _print_of(F.col("text").cast("string")).alias("_fp"))
     names = made.where(F.col("component") >= NAMELESS).select("fp", "component").distinct()
-    one = nameless.join(names, nameless["_fp"] == names["fp"]).dropDuplicates(["component"])
-    bare = nameless.where("_fp is null")
-    return named.select(docs.columns).unionAll(one.select(docs.columns)).unionAll(bare.select(docs.columns))
+    one = nameless.join(names, F.col("_fp") == F.col("fp")).dropDuplicates(["component"])
+    rest = one.select("_row").unionAll(nameless.where("_fp is null").select("_row"))
+    return named.unionAll(rest.select(*[F.col(f"_row.`{c}`") for c in docs.columns]))
