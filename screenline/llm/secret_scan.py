@@ -25,6 +25,8 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # runs of [0-9a-f]+ are maximal: shorter ones fail
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# A whole run of letters: pieces of a random string have digits beside them.
+WORD = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{6,}(?![A-Za-z0-9+/_=-])")
 KINDS = ("assign", "access", "hex", "markov")
 # Training strings of each class, at most.
 SAMPLE = 4000
@@ -100,7 +102,7 @@ def _harvest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values += [v[:LONGEST] for v in found]
             for a, _, b in spans:
                 text = text[:a] + " " * (b - a) + text[b:]
-            words = re.findall(r"[A-Za-z_-]{6,}", text)
+            words = WORD.findall(text)
             words = words[:: max(1, len(words) // 8)]
             kinds += [0] * len(words)
             values += [w[:LONGEST] for w in words]
