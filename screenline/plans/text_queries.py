@@ -36,6 +36,16 @@ def _(spark, sf):
     return docs(spark, sf).select("doc_id", F.md5(s).alias("squashed"), F.length(s).cast("long").alias("n"))
 
 
+@query(
+    "squash_all",
+    f"SELECT doc_id, md5({squash('text')}) AS text, {squash('lang')} AS lang, {squash('source')} AS source FROM documents",
+)
+def _(spark, sf):
+    """Every string column of a table at once; the text is shown as its hash."""
+    d = tx.squash_all(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
+    return d.withColumn("text", F.md5("text"))
+
+
 @query("compact_key", "SELECT page_id, regexp_replace(lower(url), '[^a-z0-9]', '', 'g') AS key FROM pages")
 def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", tx.compact_key(F.col("url")).alias("key"))

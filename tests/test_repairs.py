@@ -80,3 +80,22 @@ def test_loop_bounds_are_the_runs_own(spark, rows):
     )
     got = {r["run_id"]: (r["min_loops"], r["max_loops"]) for r in runs.loop_bounds(d).collect()}
     assert got == {"a": (3, 3), "b": (2, 5), "c": (2, 2)}
+
+
+def test_files_serve_their_own_run(rows):
+    from screenline.operators import linking
+
+    queue = rows(
+        [("a", 1, "p1", "", "", "", "deep autophagy survey", "Lee", "Cell", "2020"), ("b", 2, "p1", "", "", "", "deep autophagy survey", "Lee", "Cell", "2020")],
+        "run_id string, queue_no long, paper_id string, pmid string, pmcid string, doi string, title string, first_author string, journal string, year string",
+    )
+    files = rows(
+        [("b", "/in/x.pdf", "deep autophagy survey", "deep autophagy survey", "", "")],
+        "run_id string, path string, name string, stem string, meta_title string, origin string",
+    )
+    found = linking.link_candidates(queue, files).collect()
+    assert [(r["queue_no"], r["first_path"]) for r in found] == [(2, "/in/x.pdf")]
+    given = linking.assign_one_to_one(queue, files).collect()
+    assert [(r["queue_no"], r["path"]) for r in given] == [(2, "/in/x.pdf")]
+    loose = linking.link_candidates(queue.drop("run_id"), files).collect()
+    assert sorted(r["queue_no"] for r in loose) == [1, 2]
