@@ -6,8 +6,8 @@ run of as many shingles as the partition's largest template lies in one window.
 A template contained to 0.75 has a Jaccard similarity of at least 0.27 to such a
 window, so with 32 bands of one minimum each they share a band with probability
 1 - 4e-5 or more. Windows and templates that share one are confirmed by exact
-shingle containment. Documents that share no shingle at all with a template
-cannot share a band with it, and are not cut into windows.
+shingle containment. Windows that share
+no shingle at all with a template cannot share a band with it, and are not made.
 
 Words are runs of letters and digits, A-Z lower-cased, other ASCII characters
 apart. All of it is functions of Spark: no Python in the tasks, and no row of a
@@ -103,13 +103,14 @@ def window(size: int) -> tuple[int, int]:
 
 
 def signed_templates(spark, templates: list[tuple[str, str]]) -> list[tuple]:
-    """(name, words per shingle, distinct shingles) of each template that has a
-    word; a template of fewer than five words is one shingle of all of them."""
+    """(name, words per shingle, distinct shingles, longest word) of each template
+    that has a word; one of fewer than five words is one shingle of all of them."""
     table = local_table(spark, [(n, t) for n, t in templates], "name string, text string")
     table = table.select("name", _words(F.col("text")).alias("w"))
     table = table.withColumn("k", F.least(F.size("w"), F.lit(SIZE))).where("k > 0")
-    rows = table.select("name", "k", F.array_sort(F.array_distinct(_shingles(F.col("w"), F.col("k")))).alias("s")).collect()
-    return sorted({(r["name"], r["k"], tuple(r["s"])) for r in rows})
+    runs = F.array_sort(F.array_distinct(_shingles(F.col("w"), F.col("k"))))
+    rows = table.select("name", "k", "w", runs.alias("s")).collect()
+    return sorted({(r["name"], r["k"], tuple(r["s"]), max(r["w"], key=len)) for r in rows})
 
 
 def _long_array(values: list[int]) -> Column:
@@ -124,33 +125,66 @@ def _masked_minimum(values: str, mask: int) -> Column:
     return F.array_min(F.transform(values, lambda v: v.bitwiseXOR(F.lit(mask))))
 
 
-def _windows(hashes: str, stride: int, length: int) -> Column:
-    starts = F.sequence(F.lit(0), F.size(hashes) - 1, F.lit(stride))
-    return F.transform(starts, lambda i: F.struct(i.alias("first"), F.slice(hashes, i + 1, F.lit(length)).alias("s")))
-
-
-def _of_width(docs: DataFrame, signed: list[tuple], k: int, percent: int) -> DataFrame:
-    """Windows that contain a template of ``k`` words per shingle."""
-    spark = docs.sparkSession
-    mine = [(name, s) for name, width, s in signed if width == k]
-    held = _made(docs, h=_shingles(F.col("_words"), k))
-    held = held.where(F.arrays_overlap("h", _long_array(sorted({v for _, s in mine for v in s}))))
-    parts = []
-    for size in sorted({size_class(len(s)) for _, s in mine}):
-        stride, length = window(size)
-        windows = held.select("doc_id", F.explode(_windows("h", stride, length)).alias("x")).select("doc_id", "x.first", "x.s")
-        keys = F.array(*[F.struct(F.lit(b).alias("band"), _masked_minimum("s", m).alias("low")) for b, m in enumerate(_MASKS)])
-        members = [(name, s) for name, s in mine if size_class(len(s)) == size]
-        index = [(b, _minimum(s, m), name, list(s)) for name, s in members for b, m in enumerate(_MASKS)]
-        # At most BLOCK templates times BANDS rows.
-        index = F.broadcast(local_table(spark, index, "band int, low long, license string, t array<long>"))
-        met = windows.select("doc_id", "first", "s", F.explode(keys).alias("key")).join(
-            index, (F.col("key.band") == F.col("band")) & (F.col("key.low") == F.col("low"))
-        )
-        common = F.size(F.array_intersect("s", "t"))
-        met = met.select("doc_id", "license", "first", F.size("t").alias("n_shingles"), common.alias("n_common"))
-        parts.append(met.where(100 * F.col("n_common") >= percent * F.col("n_shingles")))
-    return reduce(DataFrame.unionAll, parts)
+def _places(hashes: str, known: list[int]) -> Column:
+    """Places of the shingles that some template has."""
+    return F.filter(F.transform(hashes, lambda h, i: F.when(h.isin(known), i)), lambda i: i.isNotNull())
+
+
+def _windows(hashes: str, places: str, group: int, stride: int, length: int) -> Column:
+    """Windows that hold one of the places, in order and once each. The others
+    share no shingle with a template, so they cannot share a band with one."""
+
+    def over(i: Column) -> Column:
+        low = F.greatest(F.lit(0), F.floor((i - length + stride) / stride).cast("int"))
+        return F.sequence(low, F.floor(i / stride).cast("int"))
+
+    starts = F.array_distinct(F.flatten(F.transform(places, over)))
+    return F.transform(
+        starts,
+        lambda j: F.struct(
+            F.lit(group).alias("kind"),
+            (j * stride).alias("first"),
+            F.slice(hashes, j * stride + 1, F.lit(length)).alias("s"),
+        ),
+    )
+
+
+def _held(words: DataFrame, signed: list[tuple], percent: int) -> DataFrame:
+    """Windows that contain a template, in one reading of the documents: the
+    windows of all partitions of a text come from its shingles, made once."""
+    widths = sorted({k for _, k, _, _ in signed})
+
+    def made(k: int) -> Column:
+        if k == SIZE:
+            return _shingles(F.col("_words"), k)
+        # A short template's only shingle holds its longest word.
+        some = F.array(*[F.lit(w) for w in sorted({w for _, v, _, w in signed if v == k})])
+        none = F.array().cast("array<bigint>")
+        return F.when(F.arrays_overlap("_words", some), _shingles(F.col("_words"), k)).otherwise(none)
+
+    rows = _made(words, **{f"h{k}": made(k) for k in widths})
+    known = {k: sorted({v for _, w, s, _ in signed if w == k for v in s}) for k in widths}
+    rows = rows.where(reduce(lambda a, b: a | b, [F.arrays_overlap(f"h{k}", _long_array(known[k])) for k in widths]))
+    places = {f"p{k}": _places(f"h{k}", known[k]) for k in widths}
+    rows = _made(rows, **{f"h{k}": F.col(f"h{k}") for k in widths}, **places)
+    kinds = sorted({(k, size_class(len(s))) for _, k, s, _ in signed})
+    cut = F.concat(*[_windows(f"h{k}", f"p{k}", g, *window(size)) for g, (k, size) in enumerate(kinds)])
+    windows = rows.select("doc_id", F.explode(cut).alias("x")).select("doc_id", "x.kind", "x.first", "x.s")
+    keys = F.array(*[F.struct(F.lit(b).alias("band"), _masked_minimum("s", m).alias("low")) for b, m in enumerate(_MASKS)])
+    index = [
+        (kinds.index((k, size_class(len(s)))), b, _minimum(s, m), name, list(s))
+        for name, k, s, _ in signed
+        for b, m in enumerate(_MASKS)
+    ]
+    # At most BLOCK templates times BANDS rows.
+    index = F.broadcast(
+        local_table(words.sparkSession, index, "of int, band int, low long, license string, t array<long>")
+    )
+    same = (F.col("kind") == F.col("of")) & (F.col("key.band") == F.col("band")) & (F.col("key.low") == F.col("low"))
+    met = windows.select("doc_id", "kind", "first", "s", F.explode(keys).alias("key")).join(index, same)
+    common = F.size(F.array_intersect("s", "t"))
+    met = met.select("doc_id", "license", "first", F.size("t").alias("n_shingles"), common.alias("n_common"))
+    return met.where(100 * F.col("n_common") >= percent * F.col("n_shingles"))
 
 
 def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = None, percent: int = PERCENT) -> DataFrame:
@@ -165,10 +199,7 @@ def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     """
     signed = signed_templates(docs.sparkSession, TEMPLATES if templates is None else templates)
     words = _made(docs.select(F.col("doc_id").cast("long"), "text"), _words=_words(F.col("text")))
-    parts = []
-    for i in range(0, len(signed), BLOCK):
-        block = signed[i : i + BLOCK]
-        parts += [_of_width(words, block, k, percent) for k in sorted({k for _, k, _ in block})]
+    parts = [_held(words, signed[i : i + BLOCK], percent) for i in range(0, len(signed), BLOCK)]
     if not parts:
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, license string, n_shingles int, n_common int, first_window int"
