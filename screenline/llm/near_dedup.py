@@ -280,7 +280,7 @@ def _blocks(families: DataFrame, size: int) -> DataFrame:
     n = families.groupBy("family").agg(
         F.ceil(F.count("*") / size).alias("across"), F.greatest(F.ceil(F.count_if(stray) / size), F.lit(1)).alias("down")
     )
-    rows = families.join(n, "family")
+    rows = families.join(small(n), "family")
     i, j = F.pmod(F.xxhash64("node", F.lit(1)), "down"), F.pmod(F.xxhash64("node", F.lit(2)), "across")
     whole = rows.select("*", F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("i"), j.alias("j"))
     part = rows.where(stray).select("*", F.lit(True).alias("left"), i.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("j"))
@@ -304,7 +304,9 @@ def _likely_members(families: DataFrame, percent: int) -> DataFrame:
         out = pd.concat([x[near.any(axis=1)], y[near.any(axis=0)]])
         return out[["family", "node", "component"]].drop_duplicates()
 
-    blocks = _blocks(families, 4 * BLOCK).groupBy("family", "i", "j")
+    # Dealt out anew: else all blocks of a family would stay in the task that
+    # counted it.
+    blocks = _blocks(families, 4 * BLOCK).repartition("family", "i", "j").groupBy("family", "i", "j")
     return blocks.applyInPandas(likely, "family long, node long, component long").distinct()
 
 
