@@ -334,6 +334,30 @@ def test_score(docs, monkeypatch):
     assert recurrent_lm.score(docs([])).count() == 0
 
 
+def test_the_network_meets_every_training_word(docs, monkeypatch):
+    met, rng = [], random.Random(21)
+    add = recurrent_lm.Model.add
+
+    def counted(self, total):
+        met.append(total[-self.n_classes :].sum())
+        add(self, total)
+
+    monkeypatch.setattr(recurrent_lm.Model, "add", counted)
+    # More documents than any fixed sample, copies, and one long text.
+    data = [(i, prose(rng, rng.randrange(0, 12))) for i in range(2600)] + [(3000 + i, "a copy") for i in range(90)]
+    data += [(4000 + i, prose(rng, 3000)) for i in range(3)] + ODD[:4]
+    known = [t for d, t in data if t is not None and zlib.crc32(("" if d is None else str(d)).encode()) % 5 != 1]
+    assert recurrent_lm.score(docs(data)).count() == len(data)
+    assert sum(met) == sum(len(brute.words(t)) + 1 for t in known)
+
+
+def test_sums_over_tasks(docs):
+    rows = docs([(i, "t") for i in range(40)]).select("doc_id").repartition(5)
+    count = lambda batches: np.full(20_000, sum(b.num_rows for b in batches), float)
+    assert (recurrent_lm.summed(rows, count, 20_000) == 40).all()
+    assert (recurrent_lm.summed(rows.where("doc_id < 0"), count, 5) == 0).all()
+
+
 # Token counts
 
 
