@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenline.llm.shingles import texts_as_bytes
@@ -167,18 +167,24 @@ def held_out() -> Column:
 
 
 def training_windows(docs: DataFrame, documents: int = DOCUMENTS) -> list[tuple[str, bytes]]:
-    """(lang, bytes) of windows at places drawn by hash, from at most about
-    ``documents`` labelled documents per language that are not held out."""
+    """(lang, bytes) of windows at places drawn by hash, from the ``documents``
+    distinct texts of lowest hash per language, at most, of labelled documents
+    that are not held out. Copies of a text are one text."""
     known = docs.where(F.col("lang").isNotNull() & ~held_out() & F.col("text").rlike("\\p{L}"))
-    n = known.groupBy("lang").agg(F.count("*").alias("_n"))
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = known.select("lang", "text", draw.alias("_d")).join(F.broadcast(n), "lang").where(F.col("_d") < documents / F.col("_n"))
+    known = known.select("lang", "text", F.xxhash64("text").alias("_h"))
+    # Ranked are only the lowest, twice as many as needed and some more.
+    kinds, draw = known.select("lang", "_h").distinct(), F.pmod("_h", F.lit(1 << 30))
+    n = F.broadcast(kinds.groupBy("lang").agg(F.count("*").alias("_n")))
+    low = kinds.join(n, "lang").where(draw / F.lit(float(1 << 30)) * F.col("_n") < 2 * documents + 100)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(draw, "_h"))
+    lowest = low.select("lang", "_h", rank.alias("_r")).where(F.col("_r") <= documents).drop("_r")
     places = F.transform(
         F.sequence(F.lit(1), F.lit(WINDOWS)),
         lambda i: F.pmod(F.xxhash64("text", i), F.greatest(F.length("text") - LENGTH, F.lit(1))).cast("int") + 1,
     )
-    drawn = drawn.select("lang", "text", F.explode(F.array_distinct(places)).alias("_p"))
-    rows = drawn.select("lang", F.substring("text", F.col("_p"), F.lit(LENGTH)).cast("binary").alias("w")).collect()
+    pieces = F.transform(F.array_distinct(places), lambda p: F.substring("text", p, F.lit(LENGTH)))
+    drawn = known.join(F.broadcast(lowest), ["lang", "_h"]).select("lang", "_h", pieces.alias("_w")).dropDuplicates(["lang", "_h"])
+    rows = drawn.select("lang", F.explode("_w").alias("w")).select("lang", F.col("w").cast("binary")).collect()
     return sorted((r["lang"], bytes(r["w"])[:LENGTH]) for r in rows)
 
 

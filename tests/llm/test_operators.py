@@ -409,6 +409,18 @@ def test_languages(docs):
     assert [tuple(r)[2:] for r in language_id.identify(bare, None).collect()] == [("und", 0.0)]
 
 
+def test_copies_of_a_training_text_are_drawn_once(docs):
+    rng = random.Random(22)
+    data = [(i, prose(rng, 60), "fr") for i in range(40)] + [(100 + i, "la même phrase", "fr") for i in range(300)]
+    data += [(1000 + i, prose(rng, 60), "de") for i in range(9)]
+    drawn = language_id.training_windows(docs(data))
+    assert sum(w == "la même phrase".encode() for _, w in drawn) == 1
+    few = language_id.training_windows(docs(data), 5)
+    for lang in ("fr", "de"):
+        from_texts = {t for _, t, x in data if x == lang and any(y == lang and w.decode() in t for y, w in few)}
+        assert len(from_texts) == 5
+
+
 def test_windows_hold_every_byte():
     texts = ["", "a" * 128, "é" * 100, "b" * 300]
     data, starts, ends = __import__("screenline.llm.shingles", fromlist=["x"]).texts_as_bytes(pa.array(texts))
