@@ -124,6 +124,7 @@ def shortlist(
     )
 
 
+# Columns of the request list.
 REQUEST_FIELDS = (
     "paper_id",
     "pmid",

@@ -278,6 +278,7 @@ def check_shortlist(tables: Tables, min_loops: int = 2) -> DataFrame:
     )
 
 
+# States a run can be in.
 STATUSES = ("initialized", "running", "loop_required", "awaiting_pdf_shortlist", "complete", "blocked")
 
 

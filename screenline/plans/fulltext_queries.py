@@ -27,14 +27,16 @@ def _escaped(c):
 
 
 def article_xml(spark, sf, kind: str):
-    """Documents as article payloads. French ones are cut off, Spanish ones
-    have no body."""
+    """Documents as article payloads: sections within sections, marked words
+    within paragraphs. French ones are cut off, Spanish ones have no body."""
     p = papers(spark, sf)
     lines = F.split(_escaped(F.col("abstract")), "\n")
-    paras = F.array_join(F.transform(lines, lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>"))), "")
+    marked = lambda x: F.regexp_replace(x, "(?s)^([^ ]+)(.*)$", "<i>$1</i>$2")
+    paras = F.array_join(F.transform(lines, lambda x: F.concat(F.lit("<p>"), marked(x), F.lit("</p>"))), "")
     t = _escaped(F.col("title"))
     if kind == "jats":
-        body = F.concat(F.lit("<sec><title>Lines</title>"), paras, F.lit("</sec>"))
+        inner = "<sec><title>Inner <i>part</i></title><fig><p>not its own</p></fig></sec><sec><p>plain <b>bold</b>\n text<!-- x --></p><p> </p></sec>"
+        body = F.concat(F.lit("<sec><title>Lines</title>"), paras, F.lit(f"{inner}<sec/></sec>"))
         head = F.concat(F.lit("<article><front><article-title><b>"), t, F.lit("</b></article-title></front>"))
         end = "</article>"
     else:
@@ -50,12 +52,12 @@ def article_xml(spark, sf, kind: str):
     return p.select(*IDS, F.lit("given").alias("title"), xml.alias("xml"))
 
 
-def _normal_sql(lead: str, sections: int) -> str:
+def _normal_sql(lead: str, tail: str, sections: int, held: str) -> str:
     return o.sql(
-        f"""SELECT paper_id, error, CASE WHEN error IS NULL OR error = 'x' THEN title ELSE 'given' END AS title, CASE WHEN error IS NULL THEN md5(raw) END AS raw,
-        CASE WHEN error IS NULL THEN {sections} END AS sections, CASE WHEN error IS NULL THEN md5(body) END AS body FROM (
+        f"""SELECT paper_id, error, CASE WHEN error IS NULL THEN title ELSE 'given' END AS title, CASE WHEN error IS NULL THEN md5(raw) END AS raw,
+        CASE WHEN error IS NULL THEN {sections} END AS sections, CASE WHEN error IS NULL THEN md5({held}) END AS body FROM (
         SELECT *, CASE WHEN run_id = 'fr' THEN 'parse_error' WHEN run_id = 'es' THEN 'no_body' WHEN length(raw) < 1000 THEN 'body_too_short' END AS error
-        FROM (SELECT paper_id, run_id, title, {o.squash(f"'{lead} ' || abstract")} AS raw,
+        FROM (SELECT paper_id, run_id, title, {o.squash(f"'{lead} ' || abstract || '{tail}'")} AS raw,
           array_to_string(list_filter(list_transform(string_split(abstract, chr(10)), lambda x: {o.squash('x')}), lambda x: x <> ''), chr(10) || chr(10)) AS body FROM papers))""",
         o.PAPERS,
     )
@@ -64,20 +66,22 @@ def _normal_sql(lead: str, sections: int) -> str:
 def _normal(kind):
     def run(spark, sf):
         d = markup.normalize_articles(article_xml(spark, sf, kind), kind=kind)
+        each = F.transform("sections", lambda s: F.concat(s["title"], F.lit("|"), s["text"]))
         return d.select(
             "paper_id",
             "error",
             "title",
             F.md5("raw_text").alias("raw"),
-            F.size("sections").alias("sections"),
-            F.md5(F.element_at("sections", -1)["text"]).alias("body"),
-        ).withColumn("sections", F.when(F.col("error").isNull(), F.col("sections")))
+            F.when(F.col("error").isNull(), F.size("sections")).alias("sections"),
+            F.md5(F.array_join(each, "#")).alias("body"),
+        )
 
     return run
 
 
-query("normalize_jats", _normal_sql("Lines", 1))(_normal("jats"))
-query("normalize_tei", _normal_sql("Outer Lines", 2))(_normal("tei"))
+_INNER = " Inner part not its own plain bold text"
+query("normalize_jats", _normal_sql("Lines", _INNER, 3, "'Lines|' || body || '#Inner part|#|plain bold text'"))(_normal("jats"))
+query("normalize_tei", _normal_sql("Outer Lines", "", 2, "'Outer|#Lines|' || body"))(_normal("tei"))
 
 
 @query(
@@ -134,11 +138,11 @@ def _(spark, sf):
         F.col("pmid"),
         F.lit('</PMID><Article><Abstract><AbstractText Label="AIM"><i>'),
         _escaped(F.col("title")),
-        F.lit("</i></AbstractText><AbstractText>"),
-        _escaped(F.col("abstract")),
-        F.lit("</AbstractText></Abstract><PublicationTypeList>"),
+        F.lit("</i></AbstractText><AbstractText> </AbstractText><AbstractText>"),
+        F.regexp_replace(_escaped(F.col("abstract")), "(?s)^([^ ]+)(.*)$", "<sup>$1</sup>$2"),
+        F.lit("</AbstractText></Abstract><Abstract><AbstractText>another</AbstractText></Abstract></Article><PublicationTypeList>"),
         kinds,
-        F.lit("</PublicationTypeList></Article></MedlineCitation></PubmedArticle></Set>"),
+        F.lit("</PublicationTypeList></MedlineCitation></PubmedArticle><PubmedArticle/></Set>"),
     )
     d = markup.parse_article_details(p.select(xml.alias("xml")))
     return d.select("pmid", F.md5("abstract").alias("abstract"), F.array_join("publication_types", ";").alias("publication_types"))

@@ -85,10 +85,30 @@ checked(
     "fulltext_review",
 )
 
+# Columns that the derived stage tables do not have.
 _LACK = {
-    "first_pass": "pmid doi title abstract publication_types year source_query first_pass_rationale topic_match_type prescreen_hint prescreen_rationale prescreen_overlap_terms",
-    "fulltext_review": "",
-    "evidence_extraction": "pmid title evidence_type evidence_summary supporting_text_locator",
+    "first_pass": (
+        "pmid",
+        "doi",
+        "title",
+        "abstract",
+        "publication_types",
+        "year",
+        "source_query",
+        "first_pass_rationale",
+        "topic_match_type",
+        "prescreen_hint",
+        "prescreen_rationale",
+        "prescreen_overlap_terms",
+    ),
+    "fulltext_review": (),
+    "evidence_extraction": (
+        "pmid",
+        "title",
+        "evidence_type",
+        "evidence_summary",
+        "supporting_text_locator",
+    ),
 }
 # A column that the files of one run lack besides.
 _DROPPED = {"first_pass": "synthesis_role", "fulltext_review": "topic_centrality", "evidence_extraction": "retention_role"}
@@ -99,7 +119,7 @@ _DROPPED = {"first_pass": "synthesis_role", "fulltext_review": "topic_centrality
     S
     + " UNION ALL ".join(
         f"""SELECT run_id, pass_number, 'missing_column' AS "check", '{t}' AS item, detail
-        FROM (SELECT DISTINCT run_id, pass_number FROM {t}) k JOIN (VALUES {", ".join(f"('{c}', {c == _DROPPED[t]})" for c in [*cs.split(), _DROPPED[t]])}) v(detail, late)
+        FROM (SELECT DISTINCT run_id, pass_number FROM {t}) k JOIN (VALUES {", ".join(f"('{c}', {c == _DROPPED[t]})" for c in [*cs, _DROPPED[t]])}) v(detail, late)
         ON NOT late OR run_id = 'de'"""
         for t, cs in _LACK.items()
     ),

@@ -95,3 +95,37 @@ def test_batch_run_again_gives_the_same_state(spark, rows, tmp_path):
 def test_caps(spark, rows):
     lines = rows([("- `retmax`: 5",), ("retmaxx: 5",), ("# retmax: 1",), ("record_cap : 9",)], "value string")
     assert sorted(r.cap_key for r in collect.forbidden_caps(lines).collect()) == ["record_cap", "retmax"]
+
+
+def test_nested_and_mixed_markup(spark, rows):
+    long = "word " * 250
+    body = (
+        f"<sec><title>A<xref>1</xref></title><title>again</title><p>{long}</p><list><p>not its own</p></list>"
+        "<sec><p>one<sec><title>in a paragraph</title></sec>two</p></sec></sec><sec><title> </title><p>\n</p></sec>"
+    )
+    xml = f'<a xmlns:m="u:m"><body>{body}<m:sec><m:p>named</m:p></m:sec></body><back><sec><p>behind</p></sec></back><body>second</body><article-title>late &lt;T&gt;</article-title></a>'
+    d = rows([("a", "given", xml), ("b", "", xml.replace("u:m", "")), ("c", "", "&x;"), ("d", "", "\x00")], "paper_id string, title string, xml string")
+    got = {r.paper_id: r for r in markup.normalize_articles(d).collect()}
+    assert {k: r.error for k, r in got.items()} == {"a": None, "b": "parse_error", "c": "parse_error", "d": "parse_error"}
+    a = got["a"]
+    assert a.title == "late <T>"
+    assert [(s.title, s.text[:20]) for s in a.sections] == [("A1", "word word word word w"[:20]), ("", "onein a paragraphtwo"), ("in a paragraph", ""), ("", "named")]
+    assert a.raw_text.startswith("A 1 again word") and a.raw_text.endswith("not its own one in a paragraph two named")
+
+
+def test_body_length_needs_no_text(spark, rows):
+    filled = lambda n: f"<TEI><pad>{'x' * 600}</pad><text><body><p>{'w' * (n - 2)}</p>\n <b>v</b></body><p>{'y' * 900}</p></text></TEI>"
+    data = [("a", filled(1000)), ("b", filled(999)), ("c", filled(2000)[:-1]), ("d", None), ("e", "<TEI/>"), ("f", f"<TEI>{'z' * 3000}</TEI>")]
+    d = rows(data, "paper_id string, xml string").select("paper_id", markup.cached_markup_ok(F.col("xml")).alias("ok"))
+    assert {r.paper_id: r.ok for r in d.collect()} == {"a": True, "b": False, "c": False, "d": False, "e": False, "f": False}
+
+
+def test_article_details(spark, rows):
+    one = (
+        "<S><PubmedArticle><MedlineCitation><PMID> 7 </PMID><Article><Abstract><AbstractText Label=' AIM '>a<i>b</i>\n</AbstractText>"
+        "<AbstractText/><AbstractText>c</AbstractText></Abstract><Abstract><AbstractText>other</AbstractText></Abstract></Article></MedlineCitation>"
+        "<PublicationTypeList><PublicationType>Review</PublicationType><PublicationType> </PublicationType></PublicationTypeList></PubmedArticle>"
+        "<PubmedArticle><MedlineCitation><PMID>8</PMID></MedlineCitation></PubmedArticle><PubmedArticle/><PMID>9</PMID></S>"
+    )
+    got = markup.parse_article_details(rows([(one,), (None,), ("<S>",), ("<S/>",)], "xml string")).collect()
+    assert [tuple(r) for r in got] == [("7", "AIM: ab\n\nc", ["Review"]), ("8", "", [])]
