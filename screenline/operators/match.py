@@ -27,7 +27,7 @@ from screenline.functions.text import (
     windows,
     words,
 )
-from screenline.session import fits, small
+from screenline.session import fits
 
 # Roles a term can have in a run's scope contract. "claim" and
 # "review_term" are word lists the caller supplies alongside the contract.
@@ -399,25 +399,6 @@ def phrase_matches(text: Column, phrases: Column, stop: Sequence[str] = ()) -> C
     return F.filter(phrases, found)
 
 
-# Phrases held in one row; a longer list gives more rows.
-PACK_PHRASES = 2_000
-
-
-def match_phrases(df: DataFrame, text: Column, phrases: DataFrame, stop: Sequence[str] = ()) -> DataFrame:
-    """Rows of ``df`` with each phrase of the table (column phrase) they match.
-    The list is packed to rows of at most about 2,000 phrases; a text meets
-    each packed row once, by equality on its number."""
-    p = phrases.select("phrase").where(F.col("phrase") != "").distinct()
-    n = max(1, -(-p.count() // PACK_PHRASES))
-    slot = F.pmod(F.xxhash64("phrase"), F.lit(n)).cast("int")
-    packed = p.groupBy(slot.alias("_slot")).agg(F.collect_list("phrase").alias("_phrases"))
-    # Each packed row holds 2,000 phrases, so ten of them keep to the row limit.
-    packed = small(packed, 10)
-    d = df.withColumn("_text", F.lower(text)).withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    hit = phrase_matches(F.col("_text"), F.col("_phrases"), stop)
-    return d.join(packed, "_slot").select(*df.columns, F.explode(hit).alias("phrase"))
-
-
 def frequent_terms(
     df: DataFrame,
     text: Column,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from screenline.functions import text as tx
 from screenline.operators import match, triage
+from screenline.operators import phrases as ph
 from screenline.operators.ranking import first_claim
 from screenline.plans import oracle as o
 from screenline.plans.registry import Registry
@@ -157,7 +158,25 @@ def _(spark, sf):
     sentence = F.explode(F.split("text", tx.SENTENCE_GAP)).alias("s")
     phrases = table(spark, sf, "benchmark").select(sentence).select(F.lower(tx.squash(F.col("s"))).alias("phrase"))
     d = spread(table(spark, sf, "documents")).select("doc_id", "text")
-    return match.match_phrases(d, F.col("text"), phrases, STOP).select("doc_id", "phrase")
+    return ph.match_phrases(d, F.col("text"), phrases, STOP).select("doc_id", "phrase")
+
+
+@query(
+    "phrase_index",
+    rf"""WITH {o.PAPERS},
+    ph AS (SELECT DISTINCT phrase FROM (SELECT lower(title) AS phrase FROM papers UNION ALL
+      SELECT lower({o.squash('s')}) FROM (SELECT unnest({o.sentences('text')}) AS s FROM benchmark)) WHERE phrase <> ''),
+    tk AS (SELECT phrase, list_filter(regexp_extract_all(phrase, '{tx.TRIAGE_TOKEN}'), lambda x: x NOT IN {_STOP})[1:4] AS t FROM ph)
+    SELECT doc_id, phrase FROM documents, tk WHERE contains(lower(text), phrase)
+      OR (len(t) > 0 AND len(list_filter(t, lambda x: contains(lower(text), x))) = len(t))""",
+)
+def _(spark, sf):
+    """Every title and benchmark sentence in every text, by the index at any size."""
+    sentence = F.explode(F.split("text", tx.SENTENCE_GAP)).alias("s")
+    listed = table(spark, sf, "benchmark").select(sentence).select(F.lower(tx.squash(F.col("s"))).alias("phrase"))
+    listed = listed.unionByName(papers(spark, sf).select(F.lower("title").alias("phrase")))
+    d = spread(table(spark, sf, "documents")).select("doc_id", "text")
+    return ph.match_phrases(d, F.col("text"), listed, STOP, few=0).select("doc_id", "phrase")
 
 
 # A profile learned from the data: frequent tokens per run, the role told by

@@ -2,10 +2,14 @@
 the rules."""
 
 import itertools
+import random
+import re
+
+import pytest
 
 from pyspark.sql import functions as F
 
-from screenline.operators import evidence, match, triage
+from screenline.operators import evidence, match, phrases, triage
 
 NAMES = ("p", "m", "o", "c", "x", "r", "e", "review", "claim", "direct", "contextual", "comparator")
 
@@ -179,10 +183,32 @@ def test_prompt_fit(spark, rows):
     assert got == {"a": True, "b": False, "c": True, "d": False, "e": False}
 
 
-def test_phrases_in_several_rows(spark, rows, monkeypatch):
-    d = rows([(1, "The alpha beta gamma."), (2, "gamma then beta"), (3, None)], "i int, text string")
-    p = rows([("alpha beta",), ("beta gamma",), ("then",), ("",), ("nowhere",)], "phrase string")
-    want = {(1, "alpha beta"), (1, "beta gamma"), (2, "beta gamma"), (2, "then"), (1, "then")} - {(1, "then")}
-    for size in (2_000, 1):
-        monkeypatch.setattr(match, "PACK_PHRASES", size)
-        assert {(r.i, r.phrase) for r in match.match_phrases(d, F.col("text"), p).collect()} == want
+def plainly_matched(text, phrases, stop):
+    low, out = text.lower(), set()
+    for p in phrases:
+        first = [t for t in re.findall("[a-z][a-z0-9+/-]{2,}", p.lower()) if t not in stop][:4]
+        if p in low or (first and all(t in low for t in first)):
+            out.add(p)
+    return out
+
+
+@pytest.mark.parametrize("few, block", [(1_000, 10**6), (0, 10**6), (0, 700)])
+def test_phrases(spark, rows, monkeypatch, few, block):
+    """In the row, by one index, by several."""
+    monkeypatch.setattr(phrases, "BLOCK_CHARS", block)
+    rng = random.Random(few + block)
+    base = ["alpha", "beta", "gamma", "al", "x", "é", "the", "alphabet", "a+b", "c/d-e", "\U0001F600", "then", "beta-gamma"]
+    texts = [" ".join(rng.choices(base, k=rng.randrange(0, 12))) for _ in range(150)] + ["", "The ALPHA beta", "é" * 40, "alpha beta gamma al x " * 9]
+    listed = [" ".join(rng.choices(base, k=rng.randrange(1, 9))) for _ in range(120)]
+    listed += [" x ", "ALPHA", "alpha", "é" * 30, "é" * 16, "é" * 17, "then then then then nowhere", "alpha beta gamma al x " * 3]
+    d = rows([*enumerate(texts), (900, None), (5, texts[5])], "phrase_no int, text string")
+    p = rows([(t,) for t in listed] + [("",), (None,), ("alpha",)], "phrase string")
+    got = sorted((r.phrase_no, r.phrase) for r in phrases.match_phrases(d, F.col("text"), p, ("the",), few).collect())
+    want = [(i, x) for i, t in [*enumerate(texts), (5, texts[5])] for x in plainly_matched(t, set(listed), {"the"})]
+    assert got == sorted(want)
+
+
+def test_no_phrases(spark, rows):
+    d = rows([(1, "alpha")], "i int, text string")
+    for few in (0, 5):
+        assert phrases.match_phrases(d, F.col("text"), rows([], "phrase string"), (), few).collect() == []
