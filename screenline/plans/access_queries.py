@@ -155,20 +155,42 @@ def _(spark, sf):
     return access.merge_reports(report(part("click"), "new"), report(part("view"), "old"), staged).select("pass_number", "paper_id", "notes")
 
 
-# Files named after benchmark items; papers are the documents they occur in.
+# Files named after pages, benchmark items and, in nine ways, the documents
+# themselves: by an id in the name, the origin or the embedded title, by title,
+# by embedded title, by author, venue and year.
 def link_inputs(spark, sf):
     first = lambda c: squash(F.get(F.split(c, SENTENCE_GAP), F.lit(0)))
     d = spread(table(spark, sf, "documents"))
+    way, no = F.col("doc_id") % 9, F.col("doc_id")
     queue = d.select(
-        F.col("doc_id").alias("queue_no"),
-        F.concat(F.lit("pmid-"), F.col("doc_id").cast("string")).alias("paper_id"),
-        F.lit("").alias("pmid"),
-        F.when(F.col("source") == "src3", F.concat(F.lit("PMC"), F.col("doc_id") + 9000000)).alias("pmcid"),
-        F.lit("").alias("doi"),
+        no.alias("queue_no"),
+        F.concat(F.lit("pmid-"), no.cast("string")).alias("paper_id"),
+        (no + 71000000).cast("string").alias("pmid"),
+        F.when(way.isin(2, 3) | (F.col("source") == "src3"), F.concat(F.lit("PMC"), no + 9000000)).alias("pmcid"),
+        F.concat(F.lit("10.5555/"), F.translate("source", "rc", ""), F.lit("."), (no + 4400000).cast("string")).alias("doi"),
         first(F.col("text")).alias("title"),
-        F.lit("").alias("first_author"),
-        F.lit("").alias("journal"),
-        F.lit("").alias("year"),
+        F.concat_ws(" ", "source", "lang").alias("first_author"),
+        F.concat(F.lit("Annals of "), "lang", F.lit("x")).alias("journal"),
+        (2000 + F.col("n_chars") % 25).cast("string").alias("year"),
+    )
+    whole = F.col("doc_id") % 2 == 0
+    doi = F.when(whole, F.translate("doi", "/", "_")).otherwise((no + 4400000).cast("string"))
+    stem = (
+        F.when(way == 0, F.concat(F.lit("Copy of "), "paper_id"))
+        .when(way == 1, F.col("pmid"))
+        .when(way == 2, F.concat(F.lit("full_"), "pmcid"))
+        .when(way == 4, doi)
+        .when(way == 6, F.concat("title", F.lit(" final")))
+        .when(way == 8, F.concat_ws(" ", F.split("first_author", " ")[0], F.lit("annals"), "year", no.cast("string")))
+        .otherwise(F.concat(F.lit("scan "), no.cast("string")))
+    )
+    own = queue.withColumn("doc_id", F.col("queue_no"))
+    c = own.select(
+        F.concat(F.lit("/in/d"), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".pdf")).alias("path"),
+        F.concat(stem, F.lit(".pdf")).alias("name"),
+        stem.alias("stem"),
+        F.when(way == 5, F.concat(F.lit("doi "), doi)).when(way == 7, F.col("title")).otherwise("").alias("meta_title"),
+        F.when(way == 3, F.concat(F.lit("https://x.org/"), "pmcid", F.lit("/pdf"))).otherwise("").alias("origin"),
     )
     p = table(spark, sf, "pages")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
@@ -186,33 +208,74 @@ def link_inputs(spark, sf):
         first(F.col("text")).alias("meta_title"),
         F.lit("").alias("origin"),
     )
-    return queue, a.unionByName(b)
+    return queue, a.unionByName(b).unionByName(c)
+
+
+def _words(c: str) -> str:
+    return (
+        f"list_distinct(list_filter(string_split(trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g')), ' '), "
+        f"lambda x: length(x) > 2 AND x NOT IN {_STOP}))"
+    )
 
 
-_SETOF = "list_distinct(list_filter(string_split(trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: length(x) > 2 AND x NOT IN " + _STOP + "))"
-_LINK = f"""WITH q AS (SELECT doc_id AS queue_no, 'pmid-' || doc_id AS paper_id, CASE WHEN source = 'src3' THEN 'pmc' || (doc_id + 9000000) END AS pmcid,
-  {_SETOF.format("split_part(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1), 1)")} AS ws FROM documents),
-f AS (SELECT '/in/p' || lpad(CAST(page_id AS VARCHAR), 9, '0') || '.pdf' AS path, 'pmc' || (page_id + 9000000) AS origin, {_SETOF.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS stem, [] AS meta FROM pages
-  UNION ALL SELECT '/in/b' || lpad(CAST(item_id AS VARCHAR), 9, '0') || '.pdf', '', ['scan'], {_SETOF.format("split_part(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1), 1)")} FROM benchmark),
-ids AS (SELECT queue_no, min(path) AS path FROM q JOIN f ON contains(origin, pmcid) GROUP BY 1),
-t AS (SELECT queue_no, path, len(list_intersect(ws, stem)) / len(ws) AS s0, len(list_intersect(ws, meta)) / len(ws) AS s1 FROM q, f WHERE len(ws) > 0 AND (list_has_any(ws, stem) OR list_has_any(ws, meta))),
-tt AS (SELECT queue_no, path, greatest(s0, s1) AS score, CASE WHEN s0 >= s1 THEN 'title_overlap' ELSE 'pdf_metadata_title' END AS method FROM t WHERE greatest(s0, s1) >= 0.45),
-best AS (SELECT *, row_number() OVER (PARTITION BY queue_no ORDER BY score DESC, path) AS r FROM tt)"""
+def _compact(c: str) -> str:
+    return f"regexp_replace(lower({c}), '[^a-z0-9]', '', 'g')"
+
+
+_FIRST = f"{o.squash(o.sentences('text') + '[1]')}"
+_DOI_HITS = "\n".join(f"WHEN contains(cname, k{i}) THEN {2 + 2 * i} WHEN contains(cmeta, k{i}) THEN {3 + 2 * i}" for i in (1, 2, 3, 4))
+_LINK = f"""q AS (SELECT doc_id, doc_id AS queue_no, doc_id % 9 AS way, 'pmid-' || doc_id AS paper_id, CAST(doc_id + 71000000 AS VARCHAR) AS pmid,
+  CASE WHEN doc_id % 9 IN (2, 3) OR source = 'src3' THEN 'PMC' || (doc_id + 9000000) END AS pmcid, translate(source, 'rc', '') || '.' || (doc_id + 4400000) AS suffix,
+  CAST(doc_id + 4400000 AS VARCHAR) AS number, coalesce({_FIRST}, '') AS title, source AS author, 'Annals of ' || lang || 'x' AS journal,
+  CAST(2000 + n_chars % 25 AS VARCHAR) AS year FROM documents),
+dn AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN '10.5555_' || suffix ELSE number END AS shown FROM q),
+df AS (SELECT doc_id, CASE way WHEN 0 THEN 'Copy of ' || paper_id WHEN 1 THEN pmid WHEN 2 THEN 'full_' || pmcid WHEN 4 THEN shown
+    WHEN 6 THEN title || ' final' WHEN 8 THEN author || ' annals ' || year || ' ' || doc_id ELSE 'scan ' || doc_id END AS stem,
+  CASE way WHEN 5 THEN 'doi ' || shown WHEN 7 THEN title ELSE '' END AS meta, CASE way WHEN 3 THEN 'https://x.org/' || pmcid || '/pdf' ELSE '' END AS origin FROM dn),
+f0 AS (SELECT '/in/d' || lpad(CAST(doc_id AS VARCHAR), 9, '0') || '.pdf' AS path, stem || '.pdf' AS name, stem, meta, origin FROM df
+  UNION ALL SELECT '/in/p' || lpad(CAST(page_id AS VARCHAR), 9, '0') || '.pdf', 'p' || lpad(CAST(page_id AS VARCHAR), 9, '0') || '.pdf',
+    regexp_extract(html, '<title>([^<]*)</title>', 1), '', 'pmc' || (page_id + 9000000) FROM pages
+  UNION ALL SELECT '/in/b' || lpad(CAST(item_id AS VARCHAR), 9, '0') || '.pdf', 'b' || lpad(CAST(item_id AS VARCHAR), 9, '0') || '.pdf', 'scan', {_FIRST}, '' FROM benchmark),
+f AS (SELECT path, name, {_compact("name")} AS cname, {_compact("meta")} AS cmeta, {_compact("origin")} AS corigin, {_words("stem")} AS stem, {_words("meta")} AS meta FROM f0),
+qq AS (SELECT queue_no, paper_id, {_compact("paper_id")} AS cpaper, pmid, lower(pmcid) AS cpmc, {_compact("'10.5555/' || suffix")} AS k1, {_compact("suffix")} AS k2,
+  number AS k3, regexp_replace(suffix, '[^0-9]', '', 'g') AS k4, {_words("title")} AS ws, author, {_words("journal")} AS venue, year FROM q),
+ir AS (SELECT queue_no, path, CASE WHEN contains(cname, cpaper) THEN 0 WHEN contains(cname, pmid) THEN 1 WHEN contains(cname, cpmc) THEN 2
+    WHEN contains(corigin, cpmc) THEN 3 {_DOI_HITS} END AS rank FROM qq, f),
+ids AS (SELECT queue_no, path, CASE WHEN rank < 4 THEN ['paper_id', 'pmid', 'pmcid', 'pdf_metadata_pmcid'][rank + 1]
+    WHEN rank % 2 = 0 THEN 'doi' ELSE 'pdf_metadata_doi' END AS method, CASE WHEN rank < 6 THEN 1.0 ELSE 0.95 END::DOUBLE AS score FROM ir WHERE rank IS NOT NULL),
+t AS (SELECT queue_no, path, coalesce(len(list_intersect(ws, stem)) / nullif(len(ws), 0), 0) AS s0, coalesce(len(list_intersect(ws, meta)) / nullif(len(ws), 0), 0) AS s1,
+    CASE WHEN list_contains(stem, author) AND contains(name, year) AND list_has_any(venue, stem) THEN 0.7 ELSE 0 END AS s2
+  FROM qq, f WHERE list_has_any(ws, stem) OR list_has_any(ws, meta) OR list_contains(stem, author)),
+tt AS (SELECT queue_no, path, greatest(s0, s1, s2)::DOUBLE AS score, CASE WHEN s0 >= s1 AND s0 >= s2 THEN 'title_overlap' WHEN s1 >= s2 THEN 'pdf_metadata_title'
+    ELSE 'author_year_journal' END AS method FROM t WHERE greatest(s0, s1, s2) >= 0.45)"""
 
 
 @query(
     "link_candidates",
-    _LINK
-    + """ SELECT q.queue_no, q.paper_id, coalesce(i.path, b.path) AS first_path, CASE WHEN i.path IS NOT NULL THEN 'pdf_metadata_pmcid' ELSE b.method END AS method, CASE WHEN i.path IS NOT NULL THEN 1.0 ELSE round(b.score, 3) END AS score
-    FROM q LEFT JOIN ids i USING (queue_no) LEFT JOIN best b ON b.queue_no = q.queue_no AND b.r = 1 WHERE coalesce(i.path, b.path) IS NOT NULL""",
+    o.sql(
+        """SELECT q.queue_no, q.paper_id, c.path AS first_path, c.method, round(c.score, 3) AS score FROM q JOIN (
+        SELECT *, row_number() OVER (PARTITION BY queue_no ORDER BY kind, s, path) AS r FROM (
+          SELECT 0 AS kind, 0 AS s, * FROM ids UNION ALL BY NAME SELECT 1 AS kind, -score AS s, * FROM tt)) c ON c.queue_no = q.queue_no AND c.r = 1""",
+        _LINK,
+    ),
 )
 def _(spark, sf):
     return linking.link_candidates(*link_inputs(spark, sf), STOP)
 
 
-@query("assign_one_to_one")
+@query(
+    "assign_one_to_one",
+    "WITH RECURSIVE "
+    + _LINK
+    + """,
+    l AS MATERIALIZED (SELECT row_number() OVER (ORDER BY queue_no) AS n, queue_no, list(struct_pack(path := path, method := method, score := score) ORDER BY kind, s, path) AS c FROM (
+      SELECT 0 AS kind, 0 AS s, * FROM ids UNION ALL BY NAME SELECT 1 AS kind, -score AS s, * FROM tt) GROUP BY queue_no),
+    g AS (SELECT 0::BIGINT AS n, NULL::BIGINT AS queue_no, NULL::STRUCT(path VARCHAR, method VARCHAR, score DOUBLE) AS pick, []::VARCHAR[] AS used
+      UNION ALL SELECT n, queue_no, pick, CASE WHEN pick IS NULL THEN used ELSE list_append(used, pick.path) END FROM (
+        SELECT l.n, l.queue_no, list_filter(l.c, lambda x: NOT list_contains(g.used, x.path))[1] AS pick, g.used FROM g JOIN l ON l.n = g.n + 1))
+    SELECT queue_no, pick.path AS path, pick.method AS method, round(pick.score, 3) AS score FROM g WHERE pick IS NOT NULL""",
+)
 def _(spark, sf):
-    """Sequential by nature, so there is no SQL twin; tested by brute force."""
     d = linking.assign_one_to_one(*link_inputs(spark, sf), STOP)
     return d.select("queue_no", "path", "method", "score")
 

@@ -2,8 +2,11 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from screenline.operators.components import components
 from screenline.operators import collect, linking, ranking, state
 from screenline.operators.match import pack_profile
 
@@ -111,7 +114,12 @@ QUEUE = "queue_no bigint, paper_id string, pmid string, pmcid string, doi string
 FILES = "path string, name string, stem string, meta_title string, origin string"
 
 
-def test_assignment_equals_one_by_one(spark, rows):
+@pytest.mark.parametrize(
+    "bounds", [{}, {"IN_ONE_COMPONENT": 3, "FREQUENT": 5}, {"IN_ONE_GROUP": 10, "FREQUENT": 0, "LEAST_GRAM": 9}], ids=["plain", "rounds", "frequent"]
+)
+def test_assignment_equals_one_by_one(spark, rows, monkeypatch, bounds):
+    for k, v in bounds.items():
+        monkeypatch.setattr(linking, k, v)
     rnd = random.Random(7)
     vocab = ["tumor", "growth", "signal", "kinase", "liver", "mouse", "cell", "gene", "protein", "pathway", "receptor", "immune"]
     queue, files = [], []
@@ -137,6 +145,61 @@ def test_assignment_equals_one_by_one(spark, rows):
     assert report.where("import_status = 'staged'").count() == len(want) and report.count() == 60
 
 
+def test_first_candidates_equal_one_by_one(spark, rows, monkeypatch):
+    """Without competition; ids of one to eight characters."""
+    rnd = random.Random(8)
+    vocab = ["tumor", "growth", "signal", "kinase", "liver", "mouse", "cell", "gene", "zeta2019", "smith"]
+    queue = [
+        dict(queue_no=i, paper_id=f"pmid-{i}", pmid=str(rnd.choice([i, 10**rnd.randrange(8) + i])), pmcid="", doi="", title=" ".join(rnd.sample(vocab, rnd.randrange(0, 7))), first_author="Smith J", journal="Liver Cell", year=rnd.choice(["2019", "2020", "19", ""]))
+        for i in range(40)
+    ]
+    files = []
+    for j in range(30):
+        stem = " ".join(rnd.sample(vocab, rnd.randrange(1, 6))) + rnd.choice(["", f" {rnd.choice('xyz')}{rnd.randrange(10, 40)}", " 120192"])
+        files.append(dict(path=f"/in/{j:03d}.pdf", name=stem + ".pdf", stem=stem, meta_title=" ".join(rnd.sample(vocab, 3)) if j % 3 == 0 else "", origin=""))
+    q, f = rows([tuple(r.values()) for r in queue], QUEUE), rows([tuple(r.values()) for r in files], FILES)
+    want = {}
+    for one in queue:
+        want.update(brute([one], files))
+    for hot in (1_000, 2):
+        monkeypatch.setattr(linking, "FREQUENT", hot)
+        got = {r.queue_no: (r.first_path, r.method, r.score) for r in linking.link_candidates(q, f).collect()}
+        assert got == want
+
+
+def test_many_of_one_author_do_not_meet_everywhere(spark, rows):
+    """300 titles of one author against 300 files: what is brought together."""
+    titles = [f"common words {'abcdefghij'[i % 10] * 5} number{i:03d} study{i % 17:02d}" for i in range(300)]
+    q = rows([(i, f"p{i}q", "", "", "", t, "Smith J", f"Journal of field{i:03d}", str(1700 + i)) for i, t in enumerate(titles)], QUEUE)
+    f = rows([(f"/{i}", f"smith journal field{i:03d} {1700 + i} {t}.pdf", f"smith journal field{i:03d} {1700 + i} {t}", "", "") for i, t in enumerate(titles)], FILES)
+    queue, files = linking._runs(q, f)
+    t, g = linking.titles_of(queue), linking.file_groups(files)
+    found = linking.title_candidates(t.dropDuplicates(["title_key"]), g)
+    assert found.count() < 9_000 and found.where("score = 1").count() == 300
+    assert linking.link_candidates(q, f).count() == 300
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_components(spark, few):
+    rnd = random.Random(few)
+    links = [(rnd.randrange(-300, 300), rnd.randrange(-300, 300)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1080)]
+    links += [(5, 5), (5000, 5000), (None, 3), (7, None), links[0], links[0][::-1]] + [(2000, 2000 + i) for i in range(1, 90)]
+    above = {}
+
+    def top(x):
+        while above.setdefault(x, x) != x:
+            x = above[x]
+        return x
+
+    for a, b in links:
+        if a is not None and b is not None:
+            a, b = sorted((top(a), top(b)))
+            above[b] = a
+    d = spark.createDataFrame(links, "a long, b long")
+    assert {r.node: r.component for r in components(d, few).collect()} == {x: top(x) for x in list(above)}
+    assert components(d.where("a > 10000"), few).collect() == []
+
+
 def test_copies_share_their_files(spark, rows):
     """Papers and files that are copies: one group each, files in order."""
     q = rows([(i, f"p{i}", "", "", "", "same title words here", "", "", "") for i in range(8)], QUEUE)
