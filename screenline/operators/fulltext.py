@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from screenline.functions.fields import append_note, norm_doi, source_type, stored_name, text_setting
 from screenline.functions.text import is_blank, strip, text_of
@@ -46,38 +47,32 @@ def staged_allowed(settings: Column, has_shortlist: Column, latest_decision: Col
     return final | (has_shortlist & F.coalesce(latest_decision == "final_pdf_pass", F.lit(False)))
 
 
-def prior_usable(imports: DataFrame, read_state: DataFrame | None = None) -> DataFrame:
-    """Per run, paper and pass the latest usable import of an earlier pass; a
-    reading recorded earlier takes precedence. Rows are (run_id, pass_number,
-    paper_id, prior), for each pass the run has."""
+def prior_usable(asked: DataFrame, imports: DataFrame, read_state: DataFrame | None = None) -> DataFrame:
+    """For each (run_id, pass_number, paper_id) asked for, the latest usable
+    import of an earlier pass as ``prior``; a reading recorded in an earlier pass
+    takes precedence. Papers without either have no row.
+
+    Questions, imports and readings of a paper are one stream in pass order, and
+    the last value before each question is carried to it, so the rows are those
+    of the tables, however many passes there are."""
     cols = ("pmcid", "fulltext_access_route", "fulltext_xml_url", "fulltext_pdf_url", "normalized_path")
-    passes = small(imports.select(*KEYS).distinct().withColumnRenamed("pass_number", "_now"))
-    ok = imports.where(usable_import() & ~is_blank(F.col("paper_id")))
-    per = latest_per_key(ok, IDS, ["normalized_path"])
-    later = per.join(passes, "run_id").where(F.col("pass_number") < F.col("_now"))
-    best = later.groupBy("run_id", "paper_id", "_now").agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("pass_number")).alias("prior")
-    )
-    best = best.withColumnRenamed("_now", "pass_number")
-    if read_state is None:
-        return best
-    said = read_state.where(~is_blank(F.col("normalized_path")))
-    said = said.join(passes, "run_id").where(F.col("last_read_pass") < F.col("_now"))
-    none = F.lit(None).cast("string")
-    said = said.select(
-        "run_id",
-        F.col("_now").alias("pass_number"),
-        "paper_id",
-        F.struct(
-            F.col("pmcid"),
-            none.alias("fulltext_access_route"),
-            none.alias("fulltext_xml_url"),
-            none.alias("fulltext_pdf_url"),
-            F.col("normalized_path"),
-        ).alias("_said"),
-    )
-    both = best.join(said, list(IDS), "full_outer")
-    return both.select(*IDS, F.coalesce("_said", "prior").alias("prior"))
+    prior = F.struct(*[F.col(c).cast("string").alias(c) for c in cols])
+    kind = "struct<" + ",".join(f"{c}:string" for c in cols) + ">"
+
+    def rows(df: DataFrame, **given: Column) -> DataFrame:
+        held = {"_asked": F.lit(False), "_import": F.lit(None).cast(kind), "_said": F.lit(None).cast(kind)} | given
+        return df.select(*IDS, *[c.alias(n) for n, c in held.items()])
+
+    ok = latest_per_key(imports.where(usable_import() & ~is_blank(F.col("paper_id"))), IDS, ["normalized_path"])
+    stream = rows(asked.select(*IDS).distinct(), _asked=F.lit(True)).unionByName(rows(ok, _import=prior))
+    if read_state is not None:
+        said = read_state.where(~is_blank(F.col("normalized_path"))).withColumn("pass_number", F.col("last_read_pass").cast("int"))
+        none = F.lit(None).cast("string")
+        bare = said.select(*IDS, "pmcid", *[none.alias(c) for c in cols[1:4]], "normalized_path")
+        stream = stream.unionByName(rows(latest_per_key(bare, IDS, ["normalized_path"]), _said=prior))
+    before = W.partitionBy("run_id", "paper_id").orderBy("pass_number").rangeBetween(W.unboundedPreceding, -1)
+    last = F.coalesce(F.last("_said", True).over(before), F.last("_import", True).over(before))
+    return stream.withColumn("prior", last).where("_asked and prior is not null").select(*IDS, "prior")
 
 
 def route_imports(

@@ -360,17 +360,24 @@ def _(spark, sf):
 
 @query(
     "purge_prior_payloads",
-    """SELECT event_type AS run_id, CAST(week(ts) AS INTEGER) AS pass_number, event_id FROM events WHERE week(ts) >= CASE WHEN event_type = 'view' THEN 2 ELSE 5 END""",
+    """SELECT event_type AS run_id, CAST(week(ts) AS INTEGER) AS pass_number, event_id FROM events WHERE event_type <> 'error'
+      AND week(ts) >= CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 0 ELSE 5 END""",
 )
 def _(spark, sf):
+    """A stored table purged and read again: one run keeps some weeks, one all,
+    one has none of its active pass, the others keep their last week."""
     e = table(spark, sf, "events").select(F.col("event_type").alias("run_id"), F.weekofyear("ts").cast("int").alias("pass_number"), "event_id")
-    active = e.groupBy("run_id").agg(F.max("pass_number").alias("pass_number"))
-    active = active.withColumn("pass_number", F.when(F.col("run_id") == "view", 2).otherwise(F.col("pass_number")))
-    return stage.purge_prior_payloads(e, active)
+    path = fresh(spark, "payloads")
+    e.write.partitionBy("run_id").parquet(path)
+    run = F.col("run_id")
+    at = F.when(run == "view", 2).when(run == "click", 0).when(run == "error", 99).otherwise(F.col("pass_number"))
+    active = e.groupBy("run_id").agg(F.max("pass_number").alias("pass_number")).withColumn("pass_number", at)
+    stage.purge_prior_payloads(spark, path, active)
+    return spark.read.schema(e.schema).parquet(path).select("run_id", "pass_number", "event_id")
 
 
 @query(
-    "scan_files",
+    "pdf_files",
     "SELECT doc_id, octet_length(encode('%PDF-1.4 ' || text)) AS length FROM documents WHERE lang <> 'de'",
 )
 def _(spark, sf):
@@ -385,6 +392,43 @@ def _(spark, sf):
     return stage.pdf_files(d).select(F.col("stem").cast("bigint").alias("doc_id"), "length")
 
 
+# Fifty documents to a file, a line with its digest each. Of five files one has
+# another ending and one another beginning.
+_VOLUMES = """v AS (SELECT doc_id // 50 AS volume, '%PDF-1.7' || chr(10) || string_agg(md5(text) || chr(10), '' ORDER BY doc_id) AS body
+  FROM documents WHERE doc_id // 50 % 5 NOT IN (1, 2) GROUP BY ALL)"""
+
+
+def volumes(spark, sf):
+    """A folder with these files."""
+    d = table(spark, sf, "documents").select((F.col("doc_id") / 50).cast("long").alias("volume"), "doc_id", F.md5("text").alias("line"))
+    begin = F.when(F.col("volume") % 5 == 2, "plain text").otherwise("%PDF-1.7")
+    lines = d.unionByName(d.groupBy("volume").agg(F.min("doc_id").alias("doc_id")).select("volume", F.lit(-1).cast("long").alias("doc_id"), begin.alias("line")))
+    path = fresh(spark, "volumes")
+    lines = lines.repartition("volume").sortWithinPartitions("volume", "doc_id").select("line", "volume")
+    other = F.col("volume") % 5 == 1
+    for some, ending in ((~other, "pdf"), (other, "txt")):
+        lines.where(some).write.mode("append").partitionBy("volume").option("extension", ending).csv(path)
+    return path
+
+
+def _volume():
+    return F.regexp_extract("path", "/volume=([0-9]+)/", 1).cast("long").alias("volume")
+
+
+@query("scan_files", o.sql("SELECT volume, octet_length(encode(body)) AS length, sha256(body) AS content_hash FROM v", _VOLUMES))
+def _(spark, sf):
+    """Files on disk, read by the binary reader; the hash is of their bytes."""
+    return stage.scan_files(spark, volumes(spark, sf), hashed=True).select(_volume(), "length", "content_hash")
+
+
+@query("stream_files", o.sql("SELECT volume, octet_length(encode(body)) AS length FROM v", _VOLUMES))
+def _(spark, sf):
+    """The same files taken in as a stream."""
+    out = fresh(spark, "files")
+    streams.run_available(streams.stream_files(spark, f"{volumes(spark, sf)}/*"), out, fresh(spark, "cp"))
+    return spark.read.parquet(out).select(_volume(), "length")
+
+
 CONTRACT = {
     "Primary entities": "primary",
     "Mechanism classes": "mechanism",
@@ -508,15 +552,21 @@ def _(spark, sf):
 
 @query(
     "stream_progress",
-    "SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL",
+    """SELECT window_start, event_type, count(*) AS n FROM (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, max(ts) OVER () AS last_ts FROM events)
+    WHERE window_start + INTERVAL '1 hour' <= last_ts - INTERVAL '2 hours' GROUP BY ALL""",
 )
 def _(spark, sf):
-    """Counts per hour and status; complete mode gives the last hours too."""
+    """Counts per hour and status, given as the watermark closes the hours: the
+    first half of the time in one run, the second in a later one."""
     e = table(spark, sf, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"))
-    d = streams.progress_counts(_as_stream(spark, e), "ts", "event_type", delay="40 days")
-    state_ = streams.VersionedState(spark, fresh(spark, "progress"), "window_start timestamp, event_type string, n long")
-    last = streams.run_counts(d, state_, fresh(spark, "cp"))
-    return state_.read(last)
+    low, high = e.agg(F.min("ts"), F.max("ts")).first()
+    half = F.col("ts") < F.lit(low + (high - low) / 2)
+    put, out, mark = fresh(spark, "in"), fresh(spark, "progress"), fresh(spark, "cp")
+    for some in (half, ~half):
+        e.where(some).write.mode("append").parquet(put)
+        stream = spark.readStream.schema(e.schema).parquet(put)
+        streams.run_available(streams.progress_counts(stream, "ts", "event_type", delay="2 hours"), out, mark)
+    return spark.read.parquet(out)
 
 
 @query(
@@ -537,8 +587,12 @@ def _(spark, sf):
         }
         return state.fold(old, new, ["paper_id"], merged)
 
-    s = streams.VersionedState(spark, fresh(spark, "fold"), "paper_id string, first_seen_pass int, last_seen_pass int")
-    last = streams.stream_fold(_as_stream(spark, e), s, step, fresh(spark, "cp"))
-    return s.read(last)
+    s = streams.PartitionedState(spark, fresh(spark, "fold"), "paper_id string, first_seen_pass int, last_seen_pass int", ["paper_id"], 8)
+    arriving, mark = _as_stream(spark, e), fresh(spark, "cp")
+    streams.stream_fold(arriving, s, step, mark)
+    # Stopped and started with nothing new, then from a fresh checkpoint folder.
+    streams.stream_fold(arriving, s, step, mark)
+    streams.stream_fold(arriving, s, step, fresh(spark, "cp"))
+    return s.read()
 
 

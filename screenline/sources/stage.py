@@ -13,7 +13,7 @@ from screenline.functions.fields import record_uri
 from screenline.functions.text import declared_terms, is_blank, norm_venue
 from screenline.operators.match import RUN_KEYS
 from screenline.operators.ranking import heading_fill, latest_per_key
-from screenline.session import small
+from screenline.session import cut, small
 
 CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -103,13 +103,94 @@ def write_state_json(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
 
 
-def purge_prior_payloads(payloads: DataFrame, active: DataFrame) -> DataFrame:
-    """Payload rows of passes before the run's active one are dropped."""
+# A replacement of partitions is first written here, below the table; readers
+# pass over names that begin so.
+NEXT = "_next"
+
+
+def _fs(spark: SparkSession, path: str):
+    """The path and its file system, as Spark sees them."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _fs(spark, path)
+    return fs.exists(at)
+
+
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write a table's rows over the partitions they belong to; other partitions
+    stay. The rows may come from the table itself: they are written in full
+    before any partition is touched, and a replacement that is cut short is
+    completed by ``finish_replacement``."""
+    finish_replacement(df.sparkSession, path)
+    # Written as a whole, so that its end is marked.
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(f"{path}/{NEXT}")
+    finish_replacement(df.sparkSession, path)
+
+
+def finish_replacement(spark: SparkSession, path: str) -> None:
+    """Put what was written in full beside the table over its partitions, and
+    let go of what was not. Run again it gives the same."""
+    beside = f"{path}/{NEXT}"
+    at, fs = _fs(spark, beside)
+    if not fs.exists(at):
+        return
+    by = _partition_columns(spark, beside)
+    if by and path_exists(spark, f"{beside}/_SUCCESS"):
+        # Folder names stay as they are: 007 is no number.
+        guess = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        before = spark.conf.get(guess)
+        spark.conf.set(guess, "false")
+        try:
+            staged = spark.read.parquet(beside)
+        finally:
+            spark.conf.set(guess, before)
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    fs.delete(at, True)
+
+
+def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns that name a table's folders, from the outermost one in."""
+    out = []
+    while True:
+        found = _fs(spark, path)[1].globStatus(_fs(spark, f"{path}/*=*")[0])
+        folders = [s.getPath() for s in found if s.isDirectory()]
+        if not folders:
+            return out
+        out.append(folders[0].getName().split("=", 1)[0])
+        path = str(folders[0].toString())
+
+
+def current_payloads(payloads: DataFrame, active: DataFrame) -> DataFrame:
+    """Payload rows without those of passes before the run's active one."""
     a = active.select("run_id", F.col("pass_number").alias("_active"))
     d = payloads.join(small(a), "run_id", "left")
     return d.where(F.col("_active").isNull() | (F.col("pass_number") >= F.col("_active"))).drop("_active")
 
 
+def purge_prior_payloads(spark: SparkSession, path: str, active: DataFrame) -> None:
+    """Take the payloads of passes before each run's active one out of the
+    stored table (partitioned by run_id). Only runs that have such payloads are
+    written anew; a run with nothing else loses its folder."""
+    finish_replacement(spark, path)
+    stored = spark.read.parquet(path)
+    kept = current_payloads(stored, active)
+    a = active.select("run_id", F.col("pass_number").alias("_active"))
+    stale = stored.join(small(a), "run_id").where(F.col("pass_number") < F.col("_active"))
+    runs = cut(stale.select("run_id").distinct())
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    emptied = runs.join(kept.select("run_id").distinct(), "run_id", "left_anti")
+    where = spark.read.parquet(path).withColumn("_folder", folder).join(emptied, "run_id", "left_semi")
+    gone = [r[0] for r in where.select("_folder").distinct().collect()]
+    if not runs.isEmpty():
+        replace_partitions(kept.join(small(runs), "run_id", "left_semi"), path, ["run_id"])
+    for f in gone:
+        at, fs = _fs(spark, f)
+        fs.delete(at, True)
+
+
 def read_venue_rules(spark: SparkSession, path: str) -> DataFrame:
     """Rules with their place (file by file in order of name, then row by row)
     and normal form."""
@@ -267,15 +348,17 @@ def read_normalized(spark: SparkSession, path: str) -> DataFrame:
     return d.drop("_corrupt_record").withColumn("raw_text", F.coalesce(F.lower("raw_text"), F.lit("")))
 
 
-def scan_files(spark: SparkSession, folder: str) -> DataFrame:
+def scan_files(spark: SparkSession, folder: str, hashed: bool = False) -> DataFrame:
     """PDF files of a folder, told by their first bytes, in path order."""
     d = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").option("recursiveFileLookup", "true").load(folder)
-    return pdf_files(d).orderBy("path")
+    return pdf_files(d, hashed).orderBy("path")
 
 
-def pdf_files(d: DataFrame) -> DataFrame:
-    """Keep rows whose content starts like a PDF; the content is dropped."""
+def pdf_files(d: DataFrame, hashed: bool = False) -> DataFrame:
+    """Keep rows whose content starts like a PDF; the content is dropped where
+    it is read, on request after its SHA-256 is taken."""
     name = F.regexp_extract("path", "([^/]+)$", 1)
+    digest = [F.sha2("content", 256).alias("content_hash")] if hashed else []
     return d.where(F.substring("content", 1, 5) == F.lit(b"%PDF-")).select(
-        "path", name.alias("name"), F.regexp_replace(name, r"(?i)\.pdf$", "").alias("stem"), "length", "modificationTime"
+        "path", name.alias("name"), F.regexp_replace(name, r"(?i)\.pdf$", "").alias("stem"), "length", "modificationTime", *digest
     )

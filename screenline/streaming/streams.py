@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from screenline.operators.collect import block_venues, drop_rejected, kept
 from screenline.session import shared_dir
-from screenline.sources.stage import pdf_files
+from screenline.sources.stage import finish_replacement, path_exists, pdf_files, replace_partitions
 
 BINARY = "path string, modificationTime timestamp, length long, content binary"
 
@@ -26,6 +26,9 @@ def stream_dedupe(rows: DataFrame, key: Sequence[str], ts: str, delay: str) -> D
 
 
 def progress_counts(events: DataFrame, ts: str, status: str, width: str = "1 hour", delay: str = "1 hour") -> DataFrame:
+    """Counts per window and status, each given once, when the watermark has
+    passed its window; what was counted is then let go. Rows that come later
+    still are left out (``run_available`` tells how many)."""
     d = events.withWatermark(ts, delay).groupBy(F.window(ts, width), status).agg(F.count("*").alias("n"))
     return d.select(F.col("window.start").alias("window_start"), status, "n")
 
@@ -36,71 +39,70 @@ def stream_files(spark: SparkSession, folder: str) -> DataFrame:
     return pdf_files(d)
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Take in everything there is, to a parquet table."""
-    (
+def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> dict[str, int]:
+    """Take in everything there is, to a parquet table. Gives what the run's
+    progress reports say (they reach back as many batches as the session keeps
+    reports of): rows that came after their window was given, and the most rows
+    of state held after a batch."""
+    q = (
         stream.writeStream.format("parquet")
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)
-        .awaitTermination()
     )
+    q.awaitTermination()
+    held = [o for p in q.recentProgress for o in p["stateOperators"]]
+    late = sum(o["numRowsDroppedByWatermark"] for o in held)
+    return {"late_rows": late, "state_rows": max((o["numRowsTotal"] for o in held), default=0)}
+
 
+class PartitionedState:
+    """A state table in the shared folder, cut in ``parts`` by a hash of its key.
 
-class VersionedState:
-    """State tables as numbered versions in the shared folder. A batch reads
-    the version before it and writes its own, so a batch that is run again
-    after a failure gives the same version: the fold is idempotent."""
+    A batch folds into the partitions of its own keys and writes only those,
+    first beside the table, then over it; a replacement that a failure cut short
+    is completed before the next one. The folds are idempotent, so a batch that
+    is run again, or a query that starts anew with a fresh checkpoint folder,
+    gives the same state."""
 
-    def __init__(self, spark: SparkSession, folder: str | None, schema: str):
+    def __init__(self, spark: SparkSession, folder: str | None, schema: str, keys: Sequence[str], parts: int = 64):
         self.spark = spark
         self.folder = folder or f"{shared_dir(spark)}/state"
         self.schema = schema
+        self.keys, self.parts = list(keys), parts
 
-    def path(self, version: int) -> str:
-        return f"{self.folder}/v={version:09d}"
+    def _marked(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_part", F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int"))
 
-    def read(self, version: int) -> DataFrame:
-        if version < 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(version))
+    def _stored(self) -> DataFrame:
+        finish_replacement(self.spark, self.folder)
+        if not path_exists(self.spark, self.folder):
+            return self._marked(self.spark.createDataFrame([], self.schema))
+        return self.spark.read.schema(f"{self.schema}, _part int").parquet(self.folder)
 
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(self.path(version))
+    def read(self) -> DataFrame:
+        return self._stored().drop("_part")
 
-    def last(self) -> int:
-        """The number of the last version that was written to its end, -1 for none."""
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.folder)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return -1
-        found = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("v=")]
-        whole = [p for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return max((int(p.getName()[2:]) for p in whole), default=-1)
+    def update(self, rows: DataFrame, fold: Callable[[DataFrame, DataFrame], DataFrame]) -> list[int]:
+        """``fold(old, rows)`` into the state; gives the partitions written."""
+        touched = sorted(r[0] for r in self._marked(rows).select("_part").distinct().collect())
+        if touched:
+            old = self._stored().where(F.col("_part").isin(touched)).drop("_part")
+            replace_partitions(self._marked(fold(old, rows)).repartition("_part"), self.folder, ["_part"])
+        return touched
 
 
 def stream_fold(
-    stream: DataFrame, state: VersionedState, fold: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str
-) -> int:
-    """Fold each batch of rows into the state, ``fold(old, rows)``; the number
-    of the state's last version, also where nothing new came in."""
+    stream: DataFrame, state: PartitionedState, fold: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str
+) -> None:
+    """Fold each batch of rows (with the state's key columns) into the state
+    until the input is used up."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        state.write(fold(state.read(batch_id - 1), batch), batch_id)
-
-    _each_batch(stream.writeStream, step, checkpoint)
-    return state.last()
-
-
-def run_counts(counts: DataFrame, state: VersionedState, checkpoint: str) -> int:
-    """Running counts as versions: each batch writes all counts so far."""
-    _each_batch(counts.writeStream.outputMode("complete"), lambda batch, n: state.write(batch, n), checkpoint)
-    return state.last()
-
+        kept = batch.persist()
+        state.update(kept, fold)
+        kept.unpersist()
 
-def _each_batch(writer, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Run a step per batch until the input is used up."""
-    q = writer.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()

@@ -1,5 +1,6 @@
 """Files, payloads and streams."""
 
+import glob
 import os
 
 from pyspark.sql import functions as F
@@ -83,13 +84,53 @@ def test_late_repeats_come_back(spark, rows, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "a", "b"]
 
 
-def test_batch_run_again_gives_the_same_state(spark, rows, tmp_path):
-    s = streams.VersionedState(spark, str(tmp_path / "s"), "k string, n long")
-    one = rows([("a", 1)], "k string, n long")
+def test_a_batch_writes_its_own_partitions(spark, rows, tmp_path):
+    """Ten keys touch ten partitions at most; a replacement cut short is
+    completed, one that was not written in full is let go."""
+    folder = str(tmp_path / "s")
+    s = streams.PartitionedState(spark, folder, "k long, n long", ["k"], 50)
+    put = lambda old, new: new.unionByName(old.join(new, "k", "left_anti"))
+    assert len(s.update(rows([(i, 0) for i in range(1000)], "k long, n long"), put)) == 50
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{folder}/*/*.parquet")}
     for _ in range(2):
-        s.write(s.read(-1).unionByName(one), 0)
-    assert [tuple(r) for r in s.read(0).collect()] == [("a", 1)] and s.read(-1).count() == 0
-    assert os.path.isdir(s.path(0))
+        assert len(s.update(rows([(i, 1) for i in range(10)], "k long, n long"), put)) <= 10
+    after = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{folder}/*/*.parquet")}
+    assert len({os.path.dirname(f) for f in set(before) - set(after)}) <= 10
+    assert sorted(map(tuple, s.read().collect())) == [(i, int(i < 10)) for i in range(1000)]
+    s._marked(rows([(5, 7)], "k long, n long")).write.partitionBy("_part").parquet(f"{folder}/{stage.NEXT}")
+    part = s._marked(rows([(5, 7)], "k long, n long")).first()["_part"]
+    inside = [r.k for r in s._marked(rows([(i, 0) for i in range(1000)], "k long, n long")).where(F.col("_part") == part).collect()]
+    assert sorted(map(tuple, s.read().collect())) == sorted([(i, int(i < 10)) for i in range(1000) if i not in inside] + [(5, 7)])
+    rows([(6, 9)], "k long, n long").write.parquet(f"{folder}/{stage.NEXT}")
+    os.remove(f"{folder}/{stage.NEXT}/_SUCCESS")
+    assert s.read().where("n = 9").count() == 0 and not os.path.exists(f"{folder}/{stage.NEXT}")
+
+
+def test_purged_table(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    rows([("007", 1, "a"), ("007", 2, "b"), ("r", 1, "c"), ("s", 1, "d"), ("t", 3, "e")], "run_id string, pass_number int, v string").write.partitionBy("run_id").parquet(path)
+    kept = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/run_id=[st]/*.parquet")}
+    active = rows([("007", 2), ("r", 2), ("s", 1)], "run_id string, pass_number int")
+    for _ in range(2):
+        stage.purge_prior_payloads(spark, path, active)
+    got = spark.read.schema("run_id string, pass_number int, v string").parquet(path).collect()
+    assert sorted((r.run_id, r.pass_number, r.v) for r in got) == [("007", 2, "b"), ("s", 1, "d"), ("t", 3, "e")]
+    assert kept == {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/run_id=[st]/*.parquet")}
+    assert sorted(os.path.basename(d) for d in glob.glob(f"{path}/run_id=*")) == ["run_id=007", "run_id=s", "run_id=t"]
+
+
+def test_counted_windows_are_let_go(spark, rows, tmp_path):
+    """A long stream holds the open windows only; late rows are told apart."""
+    src, told = str(tmp_path / "in"), []
+    for day in range(1, 7):
+        data = [("x", f"2024-01-{day:02d} {h:02d}:10:00") for h in range(24)] + ([("x", "2024-01-01 05:00:00")] * 3 if day == 5 else [])
+        rows(data, "k string, t string").select("k", F.col("t").cast("timestamp").alias("t")).coalesce(1).write.mode("append").parquet(src)
+        s = spark.readStream.schema("k string, t timestamp").parquet(src)
+        told.append(streams.run_available(streams.progress_counts(s, "t", "k"), str(tmp_path / "out"), str(tmp_path / "cp")))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 6 * 24 - 2 and got.where("n <> 1").count() == 0
+    assert sum(t["late_rows"] for t in told) == 1 and all(t["late_rows"] == 0 for t in told[:4])
+    assert max(t["state_rows"] for t in told) <= 30
 
 
 def test_caps(spark, rows):
