@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from screenline.session import small
+from screenline.session import cut, small
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -41,43 +41,26 @@ def seen_passes(df: DataFrame, keys: Sequence[str] = ("run_id", "paper_id")) ->
     )
 
 
-SPLIT_SAMPLE = 10_000
-
-
-def _cut_points(df: DataFrame, order: str, parts: int) -> list:
-    """Sorted values that cut the order column into ranges of like size, from
-    the SPLIT_SAMPLE rows with the lowest hash: the same rows on every run."""
-    rows = (
-        df.select(F.col(order).alias("v"))
-        .where("v is not null")
-        .orderBy(F.xxhash64("v"), "v")
-        .limit(SPLIT_SAMPLE)
-        .toPandas()["v"]
-    )
-    vals = sorted(rows.tolist())
-    return sorted({vals[len(vals) * i // parts] for i in range(1, parts)}) if vals else []
-
-
 def row_numbers(
     df: DataFrame, keys: Sequence[str], order: str, name: str = "row_no", parts: int | None = None
 ) -> DataFrame:
-    """Number rows 1..n per key in the order of a unique column, with no task
-    holding a whole key: rows are cut into value ranges, numbered inside each
-    range, and shifted by the size of the ranges before."""
-    spark = df.sparkSession
-    parts = parts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = _cut_points(df, order, parts)
-    place = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(c) for c in cuts])
-        place = F.size(F.filter(bounds, lambda b: b <= F.col(order)))
-    d = df.withColumn("_part", place)
-    w = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    sizes = d.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
-    shift = sizes.select(*keys, "_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(W.partitionBy(*keys, "_part").orderBy(order))
-    numbered = d.withColumn("_inside", inside).join(small(shift), [*keys, "_part"])
-    return numbered.select(*df.columns, (F.col("_shift") + F.col("_inside")).alias(name))
+    """Number rows 1..n per key in the order of a unique column (null first),
+    with no task holding a whole key. Rows are dealt to value ranges once, sorted
+    there by key, and stored; a row's place in its range, less the place where
+    its key begins there, plus the key's rows in earlier ranges is its number.
+    The input is read twice: once to find the ranges, once to deal it."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stored = cut(df.repartitionByRange(parts, order).sortWithinPartitions(*keys, order))
+    # The upper half of such an id is the partition, the lower the row's place.
+    at = stored.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33))
+    sizes = at.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    shift = sizes.select(*named, F.col("_part").alias("_in"), (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    same = F.col("_part") == F.col("_in")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return at.join(small(shift), same).select(*df.columns, (F.col("_at") + F.col("_shift")).alias(name))
 
 
 def review_batches(df: DataFrame, size: int, keys: Sequence[str] = ("run_id",), order: str = "paper_id") -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from screenline.operators import quality as q
 from screenline.plans.registry import Registry
-from screenline.plans.stages import ctes, settings, stage_tables
+from screenline.plans.stages import SETTINGS, ctes, settings, stage_tables
 from screenline.plans.views import table
-from screenline.schemas import REVISION_LEARNING, REVISION_PATHS, VOCABULARY
+from screenline.schemas import REQUIRED_COLUMNS, REVISION_LEARNING, REVISION_PATHS, VOCABULARY
 from screenline.session import shared_dir
 from screenline.sources import stage
 
@@ -48,10 +48,10 @@ def checked(name: str, fn, oracle: str, *tables: str):
 A = "SELECT run_id, pass_number, paper_id FROM "
 
 _QUALITY = " UNION ALL ".join(
-    f"""SELECT '{t}' AS tbl, '{c}' AS col, run_id, pass_number, count(*) FILTER (WHERE v = '') AS blank_count, count(*) FILTER (WHERE v <> '' AND v NOT IN {vals + ('',)}) AS invalid_count,
-    array_to_string((list(DISTINCT v) FILTER (WHERE v <> '' AND v NOT IN {vals + ('',)})), ',') AS examples
+    f"""SELECT '{t}' AS tbl, '{c}' AS col, run_id, pass_number, count(*) FILTER (WHERE v = '') AS blank_count, count(*) FILTER (WHERE v <> '' AND v NOT IN {(*vals, '')}) AS invalid_count,
+    array_to_string((list(DISTINCT v) FILTER (WHERE v <> '' AND v NOT IN {(*vals, '')})), ',') AS examples
     FROM (SELECT run_id, pass_number, trim(coalesce({c}, '')) AS v FROM {t}) GROUP BY ALL"""
-    for t in ("first_pass", "second_pass", "fulltext_review")
+    for t in VOCABULARY
     for c, vals in VOCABULARY[t].items()
 )
 
@@ -59,7 +59,7 @@ _QUALITY = " UNION ALL ".join(
 @query("column_quality", S + f"SELECT tbl, col, run_id, pass_number, blank_count, invalid_count, coalesce(examples, '') AS examples FROM ({_QUALITY})")
 def _(spark, sf):
     parts = []
-    for n, t in stage_tables(spark, sf, "first_pass", "second_pass", "fulltext_review").items():
+    for n, t in stage_tables(spark, sf, *VOCABULARY).items():
         d = q.column_quality(t, VOCABULARY[n])
         parts.append(
             d.select(
@@ -80,54 +80,45 @@ checked(
     q.check_values,
     f"""SELECT run_id, pass_number, 'blank_value' AS "check", tbl || '.' || col AS item, CAST(blank_count AS VARCHAR) AS detail FROM ({_QUALITY}) WHERE blank_count > 0
     UNION ALL SELECT run_id, pass_number, 'invalid_value', tbl || '.' || col, invalid_count || ': ' || examples FROM ({_QUALITY}) WHERE invalid_count > 0""",
-    "first_pass",
-    "second_pass",
-    "fulltext_review",
+    *VOCABULARY,
 )
 
-# Columns that the derived stage tables do not have.
-_LACK = {
-    "first_pass": (
-        "pmid",
-        "doi",
-        "title",
-        "abstract",
-        "publication_types",
-        "year",
-        "source_query",
-        "first_pass_rationale",
-        "topic_match_type",
-        "prescreen_hint",
-        "prescreen_rationale",
-        "prescreen_overlap_terms",
-    ),
-    "fulltext_review": (),
-    "evidence_extraction": (
-        "pmid",
-        "title",
-        "evidence_type",
-        "evidence_summary",
-        "supporting_text_locator",
-    ),
+# A column that the files of one run lack besides those no file of the table has.
+_DROPPED = {
+    "paper_manifest": "abstract",
+    "blocked_venue_records": "match_value",
+    "query_diagnostics": "decision",
+    "first_pass": "synthesis_role",
+    "second_pass": "second_pass_rationale",
+    "import_status": "title",
+    "pdf_download_shortlist": "priority",
+    "fulltext_review": "topic_centrality",
+    "fulltext_rescue": "rescue_decision",
+    "evidence_extraction": "retention_role",
+    "pmc_mechanism_feedback": "direct_mechanisms",
+    "workflow_loop_decision": "action",
+    "run_guidance_revision_log": "revision_rationale",
+    "final_reading_list": "final_decision",
 }
-# A column that the files of one run lack besides.
-_DROPPED = {"first_pass": "synthesis_role", "fulltext_review": "topic_centrality", "evidence_extraction": "retention_role"}
+
+
+def _lost(t: str, keys: str, rows: str, late: str = "false") -> str:
+    """Required columns that are not among those of the table's rows."""
+    return f"""SELECT {keys}, 'missing_column' AS "check", '{t}' AS item, c AS detail FROM (SELECT *, unnest({list(REQUIRED_COLUMNS[t])}) AS c FROM (
+        {rows})) WHERE NOT list_contains(held, c) OR ({late} AND c = '{_DROPPED[t]}')"""
 
 
 @query(
     "check_columns",
     S
     + " UNION ALL ".join(
-        f"""SELECT run_id, pass_number, 'missing_column' AS "check", '{t}' AS item, detail
-        FROM (SELECT DISTINCT run_id, pass_number FROM {t}) k JOIN (VALUES {", ".join(f"('{c}', {c == _DROPPED[t]})" for c in [*cs, _DROPPED[t]])}) v(detail, late)
-        ON NOT late OR run_id = 'de'"""
-        for t, cs in _LACK.items()
+        _lost(t, "run_id, pass_number", f"SELECT DISTINCT run_id, pass_number, json_keys(to_json({t})) AS held FROM {t}", "run_id = 'de'") for t in _DROPPED
     ),
 )
 def _(spark, sf):
-    """Stage tables as CSV files by run and pass, and what their headers lack."""
+    """All stage tables as CSV files by run and pass, and what their headers lack."""
     parts = []
-    for name, t in stage_tables(spark, sf, *_LACK).items():
+    for name, t in stage_tables(spark, sf, *_DROPPED).items():
         path = f"{shared_dir(spark)}/headers-{uuid.uuid4().hex}"
         late = F.col("run_id") == "de"
         for d in (t.where(~late), t.where(late).drop(_DROPPED[name])):
@@ -325,8 +316,10 @@ def _(spark, sf):
 
 @query(
     "check_settings",
-    """SELECT v.* FROM (VALUES ('fr', CAST(NULL AS INTEGER), 'setting', 'min_big_workflow_loops', '3'), ('es', NULL, 'setting', 'artifact_policy', 'other'))
-    v(run_id, pass_number, "check", item, detail) WHERE run_id IN (SELECT lang FROM documents)""",
+    f"""SELECT run_id, CAST(NULL AS INTEGER) AS pass_number, 'setting' AS "check", k AS item, v AS detail
+    FROM (VALUES {", ".join(f"('{run}', '{k}', '{v}')" for run, kv in SETTINGS.items() for k, v in kv.items())}) s(run_id, k, v)
+    WHERE run_id IN (SELECT lang FROM documents) AND ({" OR ".join(f"(k = '{k}' AND v NOT IN {legal})" for k, (_, legal) in q.MODES.items())}
+      OR (k IN {q.LOOP_SETTINGS} AND CAST(v AS INTEGER) <> 2))""",
 )
 def _(spark, sf):
     return q.check_settings({"settings": settings(spark, sf)})
@@ -433,6 +426,50 @@ checked(
 )
 
 
+_LISTED = """SELECT lang AS run_id, CASE lang WHEN 'en' THEN 'artifacts/' || source || '/' || doc_id || '.csv' WHEN 'de' THEN 'notes/' || doc_id || '.md'
+  WHEN 'fr' THEN 'manifest.csv' ELSE 'artifacts/' || doc_id || '.txt' END AS path FROM documents"""
+_WHOLE = {
+    "check_columns": S + " UNION ALL ".join(_lost(t, "NULL AS run_id, CAST(NULL AS INTEGER) AS pass_number", f"SELECT json_keys(to_json({t})) AS held FROM {t} LIMIT 1") for t in _DROPPED),
+    "check_caps": S
+    + """SELECT run_id, pass_number, 'collection_capped' AS "check", query_id AS item, collected_count || ' of ' || raw_hit_count AS detail
+      FROM query_diagnostics WHERE collected_count < raw_hit_count AND round_id = 'collection'
+      UNION ALL SELECT 'fr', 1, 'forbidden_cap', 'retmax', '7'""",
+    "check_listing": f"""SELECT run_id, 1 AS pass_number, 'undeclared_file' AS "check", path AS item, 'not_allowed' AS detail FROM ({_LISTED}) WHERE NOT (path LIKE 'artifacts/%.csv' OR path = 'manifest.csv')""",
+    "check_required": f"""SELECT run_id, 1 AS pass_number, 'required_missing' AS "check", r AS item, 'absent' AS detail FROM (SELECT DISTINCT run_id FROM ({_LISTED})) k, (VALUES ('manifest.csv'), ('brief.md')) v(r)
+      WHERE NOT EXISTS (SELECT 1 FROM ({_LISTED}) l WHERE l.run_id = k.run_id AND l.path = r)""",
+    "check_prior_payloads": S
+    + """SELECT run_id, pass_number, 'prior_payload' AS "check", paper_id AS item, 'not_purged' AS detail
+      FROM d WHERE pass_number < 2 AND run_id IN (SELECT run_id FROM workflow_state WHERE status = 'complete')""",
+}
+_SHARED = [c.__name__ for c in q.CHECKS if c.__name__ not in _WHOLE]
+
+
+@query(
+    "validate",
+    " UNION ALL ".join(
+        f'SELECT run_id, CAST(pass_number AS INTEGER) AS pass_number, "check", item, detail FROM ({text})'
+        for text in [*_WHOLE.values(), *(query.oracles[n] for n in _SHARED)]
+    ),
+)
+def _(spark, sf):
+    """Every check over all stage tables at once."""
+    t = stage_tables(spark, sf)
+    doc, lang = F.col("doc_id").cast("string"), F.col("lang")
+    docs = table(spark, sf, "documents")
+    path = (
+        F.when(lang == "en", F.concat(F.lit("artifacts/"), F.col("source"), F.lit("/"), doc, F.lit(".csv")))
+        .when(lang == "de", F.concat(F.lit("notes/"), doc, F.lit(".md")))
+        .when(lang == "fr", "manifest.csv")
+        .otherwise(F.concat(F.lit("artifacts/"), doc, F.lit(".txt")))
+    )
+    t["listing"] = docs.select(lang.alias("run_id"), F.lit(1).alias("pass_number"), path.alias("path"))
+    t["payloads"] = stage_tables(spark, sf, "d")["d"].select("run_id", "pass_number", "paper_id")
+    t["active"] = t["payloads"].groupBy("run_id").agg(F.max("pass_number").alias("pass_number"))
+    line = F.when(F.col("run_id") == "fr", "- `retmax`: 5").otherwise("- `page`: 5")
+    t["setting_lines"] = t["settings"].select("run_id", F.lit(1).alias("pass_number"), line.alias("line"), F.lit(7).alias("line_no"))
+    return q.validate(t, ["manifest.csv"], ["artifacts/*.csv"], ["manifest.csv", "brief.md"])
+
+
 @query(
     "id_difference",
     """SELECT doc_id, 'missing' AS side FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
