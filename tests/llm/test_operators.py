@@ -216,6 +216,38 @@ def test_mix(docs):
     assert as_set(mixing.mix(docs(data))) == sorted(map(tuple, rows), key=str)
 
 
+@pytest.mark.parametrize("most", [10_000, 7])
+def test_small_sources_come_near_their_targets(spark, docs, monkeypatch, most):
+    """Beside large sources, and when there are nothing else; planned in the
+    driver and in tasks."""
+    monkeypatch.setattr(mixing, "MOST_SOURCES", most)
+    for sizes in ([1, 8, 10, 20, 33, 65, 200, 5_000, 20_000, 60_000], [10] * 300, [0, 0, 0], [3]):
+        data = []
+        for i, n in enumerate(sizes):
+            for k in range(0, max(n, 1), 700):
+                data.append((len(data), "w " * min(700, n - k), None, f"s{i:04d}" if i else None))
+        size = Counter()
+        for _, t, _, s in data:
+            size[s] += len(brute.words(t))
+        names = sorted((s for s in size if s is not None)) + [None]
+        want = dict(zip(names, mixing.targets([size[s] for s in names], [i % 3 + 1 for i in range(len(names))]), strict=True))
+        of, taken = {d: s for d, _, _, s in data}, Counter()
+        for r in mixing.mix(docs(data)).collect():
+            assert r["taken"] <= 3 * r["size"] and r["target"] == pytest.approx(float(want[of[r["doc_id"]]]))
+            taken[of[r["doc_id"]]] += r["taken"]
+        for s in names:
+            assert abs(taken[s] - want[s]) <= max(1, want[s] / 100)
+
+
+def test_as_many_sources_as_there_are(spark, rows):
+    n = 20_001
+    d = rows([(i, "a b c d e f g h i j", f"s{i}") for i in range(n)], "doc_id long, text string, source string")
+    got = mixing.mix(d).groupBy("target").agg({"taken": "sum", "doc_id": "count"}).collect()
+    assert len(got) == 3 and sum(r["count(doc_id)"] for r in got) == n
+    for r in got:
+        assert abs(r["sum(taken)"] / r["count(doc_id)"] - r["target"]) <= 1
+
+
 def test_mixed_texts_hold_the_words_taken(docs):
     data = mix_data(9)
     want = {}
