@@ -493,3 +493,28 @@ def test_scan(docs):
     assert np.mean([out[d]["n_markov"] == 1 for d, _ in bare]) > 0.9
     assert sum(out[d]["n_markov"] for d, _ in plain) == 0
     assert secret_scan.scan(docs([]), secret_scan.train(docs([]))).count() == 0
+
+
+def test_random_strings_are_told_by_alphabet_and_length(spark):
+    """Strings that training never saw; figures are in the README."""
+    model = secret_scan.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rng = random.Random(77)
+    for letters in secret_scan.ALPHABETS.values():
+        for n in (12, 16, 20, 31, 40):
+            keys = ["".join(rng.choice(letters) for _ in range(n)) for _ in range(200)]
+            assert sum(model.spans(f"it is {k} indeed") == [(6, 3, 6 + n)] for k in keys) >= 190
+    plain = ["12345678901234567890", "=====================", "2024-01-02-2024-01-03", "0000000000000000000000", "------------"]
+    plain += ["1234-5678-9012-3456", "+49-170-1234567", "aaaaaaaaaaaaaaaaaaaa", "some_function_name_2", "SOME_CONSTANT_NAME", "2024/12/31/235959"]
+    plain += ["".join(rng.choice("0123456789") for _ in range(n)) for n in range(10, 60)]
+    assert [p for p in plain if model.spans(f"a {p} b")] == []
+
+
+def test_the_rest_of_a_run_beside_a_fixed_match(spark):
+    model = secret_scan.Model([], ["ordinary", "words"])
+    rng = random.Random(5)
+    key = "".join(rng.choice(secret_scan.ALPHABETS["base62"]) for _ in range(24))
+    text = f"{key}/{'0123456789abcdef' * 2}/{key}"
+    base = secret_scan.base_spans(text)
+    assert [text[a:b] for a, _, b in base] == ["0123456789abcdef" * 2]
+    found = model.spans(text, secret_scan.merged([(a, b) for a, _, b in base]))
+    assert found == [(0, 3, 25), (57, 3, len(text))]
