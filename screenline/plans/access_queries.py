@@ -32,7 +32,7 @@ def _manifest(spark, sf):
 
 
 _RUN_TERMS = f"""rt AS (SELECT run_id, term, rank FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY n DESC, term) AS rank FROM (
-  SELECT run_id, term, count(*) AS n FROM (SELECT run_id, unnest(regexp_extract_all(lower(title), '[a-z][a-z0-9+/-]{{2,}}')) AS term FROM papers) WHERE term NOT IN {_STOP} GROUP BY ALL)) WHERE rank <= 24)"""
+  SELECT run_id, term, count(*) AS n FROM (SELECT run_id, unnest(regexp_extract_all(lower(abstract), '[a-z][a-z0-9+/-]{{2,}}')) AS term FROM papers) WHERE term NOT IN {_STOP} GROUP BY ALL)) WHERE rank <= 24)"""
 _SHORT = f"""{_RUN_TERMS},
 ready AS (SELECT run_id FROM (SELECT run_id, count(*) AS n, arg_max(pdf_deferral_decision, pass_number) AS last FROM pmc_mechanism_feedback GROUP BY run_id) WHERE n >= 2 AND last = 'final_pdf_pass'),
 txt AS (SELECT q.run_id, q.pass_number, q.paper_id, q.n_chars, coalesce(s.promotion_decision, '') AS promotion, q.title || chr(10) || p.abstract || chr(10) || p.journal AS t, lower(q.title || chr(10) || p.abstract || chr(10) || p.journal) AS low
@@ -47,7 +47,7 @@ _DECISION = "CASE WHEN reason IN ('noise', 'not_advanced') THEN 'do_not_request'
 
 def _shortlist(spark, sf):
     t = stage_tables(spark, sf, "manual_pdf_queue", "second_pass", "pmc_mechanism_feedback")
-    rt = match.frequent_terms(papers(spark, sf), F.col("title"), 24, ["run_id"], STOP)
+    rt = match.frequent_terms(papers(spark, sf), F.col("abstract"), 24, ["run_id"], STOP)
     return (
         access.shortlist(
             t["manual_pdf_queue"], _manifest(spark, sf), t["second_pass"], t["pmc_mechanism_feedback"], rt.select("run_id", "term", "rank"), STOP
@@ -459,20 +459,28 @@ def _(spark, sf):
 @query(
     "build_profile",
     o.sql(
-        """SELECT run_id, role, term FROM (
-        SELECT run_id, 'primary' AS role, term FROM freq WHERE rank <= 20 UNION ALL SELECT run_id, 'mechanism', term FROM freq WHERE rank > 20
-        UNION ALL SELECT run_id, 'outcome', term FROM freq WHERE rank > 20)""",
+        """SELECT run_id, role, term FROM (SELECT * FROM prim UNION SELECT * FROM mech UNION SELECT run_id, 'outcome', term FROM decl WHERE role = 'outcome'
+        UNION SELECT run_id, 'outcome', term FROM mech WHERE run_id NOT IN (SELECT run_id FROM decl WHERE role = 'outcome') UNION SELECT * FROM decl WHERE role = 'comparator')""",
         o.PAPERS_ONE,
         f"""freq AS (SELECT run_id, term, rank FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY n DESC, term) AS rank FROM (SELECT run_id, term, count(*) AS n FROM
-        (SELECT run_id, unnest(regexp_extract_all(lower(title), '[a-z][a-z0-9+/-]{{2,}}')) AS term FROM papers) WHERE term NOT IN {_STOP} GROUP BY ALL)) WHERE rank <= 60)""",
+        (SELECT run_id, unnest(regexp_extract_all(lower(abstract), '[a-z][a-z0-9+/-]{{2,}}')) AS term FROM papers) WHERE term NOT IN {_STOP} GROUP BY ALL)) WHERE rank <= 70)""",
+        """decl AS (SELECT run_id, ['primary', 'mechanism', 'outcome', 'comparator'][1 + rank % 4] AS role, term FROM freq WHERE (rank > 60 OR rank BETWEEN 10 AND 14)
+          AND NOT (run_id = 'de' AND rank % 4 = 0) AND NOT (run_id = 'fr' AND rank % 4 = 1) AND NOT (run_id = 'es' AND rank % 4 < 3))""",
+        """prim AS (SELECT run_id, role, term FROM decl WHERE role = 'primary' UNION SELECT run_id, 'primary', term FROM freq
+          WHERE rank <= 20 AND run_id NOT IN (SELECT run_id FROM decl WHERE role = 'primary'))""",
+        """mech AS (SELECT run_id, role, term FROM decl WHERE role = 'mechanism' UNION SELECT run_id, 'mechanism', term FROM freq f
+          WHERE rank <= 60 AND run_id NOT IN (SELECT run_id FROM decl WHERE role = 'mechanism') AND NOT EXISTS (SELECT 1 FROM prim p WHERE p.run_id = f.run_id AND p.term = f.term))""",
     ),
 )
 def _(spark, sf):
-    """Runs whose contracts declare nothing fall back to frequent words."""
-    p = papers(spark, sf, 1)
-    frequent = match.frequent_terms(p, F.col("title"), 60, KEYS, STOP)
-    declared = p.select(*KEYS, F.lit("").alias("role"), F.lit("").alias("term")).limit(0)
-    return match.build_profile(declared, frequent).select("run_id", "role", "term")
+    """Contracts that declare everything, no primary terms, no mechanisms, or
+    comparators only; what is missing comes from the run's frequent words."""
+    ranked = match.frequent_terms(papers(spark, sf, 1), F.col("abstract"), 70, KEYS, STOP)
+    place, run = F.col("rank") % 4, F.col("run_id")
+    role = F.get(F.array(*[F.lit(r) for r in ("primary", "mechanism", "outcome", "comparator")]), place)
+    lacks = ((run == "de") & (place == 0)) | ((run == "fr") & (place == 1)) | ((run == "es") & (place < 3))
+    declared = ranked.where(((F.col("rank") > 60) | F.col("rank").between(10, 14)) & ~lacks).select(*KEYS, role.alias("role"), "term")
+    return match.build_profile(declared, ranked.where("rank <= 60")).select("run_id", "role", "term")
 
 
 @query(

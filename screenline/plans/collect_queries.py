@@ -386,18 +386,29 @@ def _(spark, sf):
 @query(
     "supersede",
     o.sql(
-        """, seen AS (SELECT paper_id, max(pass_number) AS last FROM log GROUP BY 1),
-        again AS (SELECT DISTINCT 'pmid-' || user_id AS paper_id FROM events WHERE week(ts) = 5 AND event_type <> 'view')
-        SELECT paper_id, last AS last_seen_pass, last = 5 AND paper_id NOT IN (SELECT paper_id FROM again) AS superseded FROM seen""",
+        """, seen AS (SELECT paper_id, max(pass_number) AS last FROM log GROUP BY 1), latest AS (SELECT max(last) AS w FROM seen),
+        again AS (SELECT DISTINCT 'pmid-' || user_id AS paper_id FROM events, latest WHERE week(ts) = w AND event_type <> 'view'),
+        made AS (SELECT DISTINCT 'pmid-' || user_id AS paper_id, CAST(week(ts) AS INTEGER) AS pass_number FROM events)
+        SELECT 'papers' AS side, paper_id, last AS pass_number, last = w AND paper_id NOT IN (SELECT paper_id FROM again) AS superseded FROM seen, latest
+        UNION ALL SELECT 'decisions', paper_id, pass_number, pass_number = w AND paper_id NOT IN (SELECT paper_id FROM again) FROM made, latest""",
         LOG,
     ).replace("\n,", ",", 1),
 )
 def _(spark, sf):
-    p = state.replay(decision_log(spark, sf))
-    again = table(spark, sf, "events").where((F.weekofyear("ts") == 5) & (F.col("event_type") != "view"))
+    """The latest week collected again without views: papers and decisions."""
+    papers_ = state.replay(decision_log(spark, sf))
+    e = log_rows(spark, sf).withColumn("run_id", F.lit("run"))
+    latest = papers_.agg(F.max("last_seen_pass")).first()[0]
+    given = {"stage": "abstract_triage", "decision": "include", "status": "advanced", "rationale": "x"}
+    made = e.select("run_id", "pass_number", "paper_id", "pmid").distinct().withColumns({k: F.lit(v) for k, v in given.items()})
+    names = spark.createDataFrame([], state.DECISIONS).columns
+    again = table(spark, sf, "events").where((F.weekofyear("ts") == latest) & (F.col("event_type") != "view"))
     m = again.select(F.lit("run").alias("run_id"), F.lit(None).cast("string").alias("paper_id"), F.col("user_id").cast("string").alias("pmid"))
-    p, _d = state.supersede(p, spark.createDataFrame([], state.DECISIONS), m, 5)
-    return p.select("paper_id", "last_seen_pass", (F.col("latest_status") == "superseded").alias("superseded"))
+    p, d = state.supersede(papers_, made.select(*names), m, latest)
+    shown = lambda df, side, at, status: df.select(
+        F.lit(side).alias("side"), "paper_id", F.col(at).alias("pass_number"), (F.col(status) == "superseded").alias("superseded")
+    )
+    return shown(p, "papers", "last_seen_pass", "latest_status").unionByName(shown(d, "decisions", "pass_number", "status"))
 
 
 RECORDS = (
