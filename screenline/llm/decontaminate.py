@@ -7,9 +7,12 @@ into overlapping windows of that size: every run of as many shingles as the
 largest item of the partition lies in one window. An item contained to 0.75 then
 has a Jaccard similarity of at least 0.27 to some window, and shares at least
 one of 32 minima with it with probability 1 - 4e-5 (one minimum per band).
-Minima of blocks are halved into those of larger blocks, so all partitions cost
-about as much as one. Candidates are verified by exact shingle containment in
-the whole document.
+Minima of blocks are halved into those of larger blocks, so all partitions of
+short items cost about as much as one; for a partition of long items only the
+documents that are long enough to contain one are cut, so a document is padded to
+a few times its own length at most. Candidates are verified by exact shingle
+containment in the whole document. An item of fewer words than a shingle has is a
+run of so many words, looked up among all such runs of a document.
 
 Documents are read in place and never shuffled. Items go to the tasks in blocks
 of at most ITEMS items and CHARS characters, one pass over the documents per
@@ -33,6 +36,8 @@ PERCENT = 75
 HASHES = 32
 ITEMS = 4096
 CHARS = 8_000_000
+# Partitions of longer items are searched one by one.
+TOGETHER = 256
 FOUND = "doc_id long, item_id long, n_item_shingles long, n_common long, containment double"
 
 _rng = np.random.default_rng(11)
@@ -62,13 +67,19 @@ class Items:
         self.size = size
         texts = pa.array([t for _, t in rows], pa.string())
         self.ids, self.sets = [], []
-        for (item, _), s in zip(rows, sh.sets_of(texts, size), strict=True):
-            if len(s):
+        classes: dict[int, list[int]] = {}
+        # Items of fewer words than a shingle: by number of words and hash.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for (item, _), words in zip(rows, sh.words_of(texts), strict=True):
+            if len(words):
+                i, s = len(self.ids), sh.shingles(words, size)
                 self.ids.append(item)
                 self.sets.append(s)
-        classes: dict[int, list[int]] = {}
-        for i, s in enumerate(self.sets):
-            classes.setdefault(size_class(len(s)), []).append(i)
+                if len(words) < size:
+                    self.short.setdefault(len(words), {}).setdefault(int(s[0]), []).append(i)
+                else:
+                    classes.setdefault(size_class(len(s)), []).append(i)
+        self.least = {c: min(len(self.sets[i]) for i in members) for c, members in classes.items()}
         self.tables = {}
         for c, members in classes.items():
             low = np.array([(_A[:, None] * _folded(self.sets[i])).min(axis=1) for i in members])
@@ -79,10 +90,36 @@ class Items:
                 marks[h][values[:, h] & _LOW] = True
             self.tables[c] = (values.T.copy(), np.array(members)[order].T.copy(), marks)
 
-    def candidates(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def candidates(self, hashes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
         """Pairs of text number and item number that share a minimum; the texts'
         shingles in order lie end to end in ``hashes``."""
-        blocks = {c: _shape(c) for c in self.tables}
+        small = [c for c in self.tables if c <= TOGETHER]
+        found = [self._sharing(small, hashes, counts)]
+        ends = np.cumsum(counts)
+        for c in self.tables:
+            if c > TOGETHER:
+                fit = np.flatnonzero(100 * counts >= percent * self.least[c])
+                if len(fit):
+                    some = np.concatenate([hashes[ends[i] - counts[i] : ends[i]] for i in fit])
+                    pairs = self._sharing([c], some, counts[fit])
+                    found.append(np.column_stack([fit[pairs[:, 0]], pairs[:, 1]]))
+        return np.unique(np.concatenate(found), axis=0)
+
+    def runs(self, words: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
+        """Pairs of text number and short item that is a run of its words."""
+        ends, out = np.cumsum(counts), set()
+        for k, items in self.short.items():
+            if len(words) < k:
+                continue
+            over = sh.runs_of(words, k)
+            at = np.flatnonzero(np.isin(over, np.fromiter(items, np.uint64, len(items))))
+            text = np.searchsorted(ends, at, side="right")
+            inside = at + k <= ends[text]
+            out.update((int(t), i) for t, h in zip(text[inside], over[at[inside]], strict=True) for i in items[int(h)])
+        return out
+
+    def _sharing(self, classes: list[int], hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        blocks = {c: _shape(c) for c in classes}
         if not blocks or not len(hashes):
             return np.zeros((0, 2), np.int64)
         # Every text ends in padding, so no window reaches into the next one.
@@ -97,7 +134,7 @@ class Items:
         out = []
         for h in range(HASHES):
             level, width = x * _A[h], 1
-            for c in sorted(self.tables):
+            for c in sorted(classes):
                 block, n = blocks[c]
                 while width < block:
                     level = np.minimum(level[0::2], level[1::2])
@@ -122,7 +159,9 @@ class Items:
             runs = list(sh.shingles_of(column.slice(at, upto - at), self.size))
             lengths = np.array([len(r) for r in runs])
             last, full = -1, None
-            for i, m in self.candidates(np.concatenate(runs), lengths):
+            for i, m in sorted(self.runs(hashes, np.asarray(counts))):
+                yield at + i, m, 1
+            for i, m in self.candidates(np.concatenate(runs), lengths, percent):
                 if i != last:
                     last, full = i, np.sort(runs[i])
                 item = self.sets[m]
@@ -147,8 +186,8 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -
     at least ``percent`` in 100 occur in the document: doc_id, item_id,
     n_item_shingles, n_common, containment.
 
-    An item of fewer than five words is one shingle, and occurs in documents
-    that are just those words. Items and documents that are null or have no
+    An item of fewer than five words is one shingle, and occurs where its words
+    follow each other. Items and documents that are null or have no
     word match nothing; equal rows of items count once, equal rows of documents
     each. Empty tables give an empty result. Other columns are not looked at.
     """

@@ -75,6 +75,11 @@ def _summed(words: np.ndarray, width: int) -> np.ndarray:
     return mix(out + U(width))
 
 
+def runs_of(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` words."""
+    return _summed(words, k)
+
+
 def shingles_in_order(words: np.ndarray, k: int = 5) -> np.ndarray:
     """Shingle hashes of one text in order of place, repeats kept."""
     return _summed(words, min(k, len(words))) if len(words) else np.zeros(0, np.uint64)

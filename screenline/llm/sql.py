@@ -17,15 +17,20 @@ def _shingles(table: str, key: str) -> str:
     FROM (SELECT {key}, {_WORDS} AS w FROM {table} WHERE text IS NOT NULL)"""
 
 
+_RUN = "' ' || array_to_string({0}, ' ') || ' '"
+
 CONTAINED_ITEMS = f"""
 WITH d AS ({_shingles("documents", "doc_id")}),
-b AS ({_shingles("benchmark", "item_id")}),
+dw AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+b AS (SELECT item_id, s FROM ({_shingles("benchmark", "item_id")}) WHERE len(string_split(s, ' ')) = 5),
 n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id),
 m AS (SELECT d.doc_id, b.item_id, count(*) AS c FROM d JOIN b ON d.s = b.s GROUP BY ALL)
 SELECT m.doc_id, m.item_id, n.n AS n_item_shingles, m.c AS n_common, m.c::DOUBLE / n.n AS containment
 FROM m JOIN n ON m.item_id = n.item_id
-WHERE 100 * m.c >= 75 * n.n"""
-
+WHERE 100 * m.c >= 75 * n.n
+UNION ALL SELECT doc_id, item_id, 1, 1, 1.0::DOUBLE FROM dw, bw
+WHERE len(bw.w) BETWEEN 1 AND 4 AND contains({_RUN.format("dw.w")}, {_RUN.format("bw.w")})"""
 
 FILL_MIDDLE = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),

@@ -47,9 +47,11 @@ def near_duplicates(data, percent=75):
 def contained(data, items, percent=75):
     out = []
     for item, text in dict.fromkeys(items):
+        w = words((text or "").translate(LOWER))
         q = shingles(text)
         for d, t in data:
-            n = len(q & shingles(t))
+            # A short item is a run of its words.
+            n = len(q & shingles(t, len(w) if 0 < len(w) < 5 else 5))
             if q and 100 * n >= percent * len(q):
                 out.append((d, item, len(q), n, n / len(q)))
     return out

@@ -64,6 +64,26 @@ def test_contained_items(docs, rows):
     assert as_set(found) == sorted(brute.contained(data, items), key=str)
 
 
+def test_short_and_long_items(docs, rows):
+    """A few words among others; one item of 20,000 words beside short texts."""
+    import tracemalloc
+
+    rng = random.Random(3)
+    items = [(1, "alpha beta gamma"), (2, "Delta"), (3, "one two three four"), (4, prose(rng, 20_000)), (5, prose(rng, 400))]
+    data = [(1, "x ALPHA  beta\ngamma y"), (2, "alpha beta"), (3, "gamma alpha beta"), (4, "deltas delta."), (5, "a delta b"), (6, "one two three four")]
+    data += [(7, items[3][1][: len(items[3][1]) * 4 // 5]), (8, items[3][1][: len(items[3][1]) // 2]), (9, "u " + items[4][1]), (10, "beta gamma")]
+    data += [(100 + i, prose(rng, 20)) for i in range(1000)]
+    want = brute.contained(data, items)
+    assert {(d, i) for d, i, *_ in want} == {(1, 1), (5, 2), (6, 3), (7, 4), (9, 5)}
+    assert as_set(decontaminate.contained_items(docs(data), rows(items, "item_id long, text string"))) == sorted(want, key=str)
+    block = decontaminate.Items(items)
+    texts = pa.array([t for _, t in data[10:]])
+    tracemalloc.start()
+    assert list(block.found(texts, 75)) == []
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    tracemalloc.stop()
+
+
 def test_blocks_of_items(docs, rows, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEMS", 5)
     data, items = leaks(5)
