@@ -208,6 +208,14 @@ def test_phrases(spark, rows, monkeypatch, few, block):
     assert got == sorted(want)
 
 
+def test_a_worker_holds_no_found_phrases(spark, rows):
+    """Every text holds every long phrase: 4.8 GB of phrases in one batch of texts."""
+    d = rows([(i, "some alpha and beta") for i in range(300)], "i int, text string").coalesce(1)
+    p = rows([(i,) for i in range(2_000)], "i int").select(F.concat(F.lit("alpha beta "), "i", F.repeat(F.lit("é"), 4_000)).alias("phrase"))
+    got = phrases.match_phrases(d, F.col("text"), p, ("and",)).groupBy("i").agg(F.count("*").alias("n"), F.sum(F.length("phrase")).alias("c")).collect()
+    assert len(got) == 300 and {r.n for r in got} == {2_000} and {r.c for r in got} == {2_000 * 4_011 + 6_890}
+
+
 def test_no_phrases(spark, rows):
     d = rows([(1, "alpha")], "i int, text string")
     for few in (0, 5):
