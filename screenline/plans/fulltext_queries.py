@@ -392,19 +392,22 @@ def log_imports(spark, sf):
     "prior_usable",
     """WITH i AS (SELECT event_type AS run_id, user_id, CAST(week(ts) AS INTEGER) AS pass_number, 'pmid-' || user_id AS paper_id, max(event_id) AS e, max(value) AS v FROM events GROUP BY ALL),
     said AS (SELECT run_id, paper_id, min(pass_number) + 1 AS read_pass FROM i WHERE user_id % 7 = 0 GROUP BY ALL),
+    a AS (SELECT * FROM (SELECT DISTINCT run_id, pass_number FROM i) JOIN (SELECT DISTINCT run_id, paper_id FROM i) USING (run_id)),
     p AS (SELECT a.run_id, a.pass_number, a.paper_id, arg_max(b.e, b.pass_number) AS e, any_value(s.read_pass) AS read_pass
-      FROM i a LEFT JOIN i b ON b.run_id = a.run_id AND b.paper_id = a.paper_id AND b.pass_number < a.pass_number AND b.v > 60
+      FROM a LEFT JOIN i b ON b.run_id = a.run_id AND b.paper_id = a.paper_id AND b.pass_number < a.pass_number AND b.v > 60
       LEFT JOIN said s ON s.run_id = a.run_id AND s.paper_id = a.paper_id AND s.read_pass < a.pass_number GROUP BY ALL)
     SELECT run_id, pass_number, paper_id, CASE WHEN read_pass IS NULL THEN 'PMC' || e ELSE 'PMC-read' END AS pmcid,
       CASE WHEN read_pass IS NULL THEN 'texts/' || e ELSE 'read/' || paper_id END AS path FROM p WHERE e IS NOT NULL OR read_pass IS NOT NULL""",
 )
 def _(spark, sf):
+    """Every paper of a run in every pass of it, imported in that pass or not."""
     imports = log_imports(spark, sf)
+    every = imports.select("run_id", "pass_number").distinct().join(imports.select("run_id", "paper_id").distinct(), "run_id")
     seen = imports.where("cast(substring(paper_id, 6) as long) % 7 = 0").groupBy("run_id", "paper_id")
     said = seen.agg((F.min("pass_number") + 1).alias("last_read_pass")).select(
         "*", F.lit("PMC-read").alias("pmcid"), F.concat(F.lit("read/"), "paper_id").alias("normalized_path")
     )
-    d = ft.prior_usable(imports, imports, said)
+    d = ft.prior_usable(every, imports, said)
     return d.select(*IDS, "prior.pmcid", F.col("prior.normalized_path").alias("path"))
 
 
