@@ -26,9 +26,10 @@ def stream_dedupe(rows: DataFrame, key: Sequence[str], ts: str, delay: str) -> D
 
 
 def progress_counts(events: DataFrame, ts: str, status: str, width: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """Counts per window and status, each given once, when the watermark has
-    passed its window; what was counted is then let go. Rows that come later
-    still are left out (``run_available`` tells how many)."""
+    """Counts per window and status: with ``run_available`` each is given once,
+    when the watermark has passed its window, with ``run_counts`` as it stands
+    after each batch. When the watermark has passed, what was counted is let go;
+    rows that come later still are left out (``run_available`` tells how many)."""
     d = events.withWatermark(ts, delay).groupBy(F.window(ts, width), status).agg(F.count("*").alias("n"))
     return d.select(F.col("window.start").alias("window_start"), status, "n")
 
@@ -94,7 +95,11 @@ class PartitionedState:
 
 
 def stream_fold(
-    stream: DataFrame, state: PartitionedState, fold: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str
+    stream: DataFrame,
+    state: PartitionedState,
+    fold: Callable[[DataFrame, DataFrame], DataFrame],
+    checkpoint: str,
+    mode: str = "append",
 ) -> None:
     """Fold each batch of rows (with the state's key columns) into the state
     until the input is used up."""
@@ -104,5 +109,15 @@ def stream_fold(
         state.update(kept, fold)
         kept.unpersist()
 
-    q = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q = stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+def run_counts(counts: DataFrame, state: PartitionedState, checkpoint: str) -> None:
+    """Take in everything there is and keep every count as it stands, windows
+    that are still open included; a batch's counts replace earlier ones."""
+
+    def newest(old: DataFrame, rows: DataFrame) -> DataFrame:
+        return old.join(rows, state.keys, "left_anti").unionByName(rows)
+
+    stream_fold(counts, state, newest, checkpoint, "update")

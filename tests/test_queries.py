@@ -36,3 +36,8 @@ def test_prior_texts_of_every_paper_in_every_pass(spark, con):
         " SELECT count(*) FROM f JOIN (SELECT DISTINCT r, p FROM i) q ON q.r = f.r AND (a < q.p OR b < q.p)"
     ).fetchall()[0][0]
     assert QUERIES["prior_usable"](spark, SF).count() == want
+
+
+def test_progress_counts_every_event(spark, con):
+    """Of the last hours, too."""
+    assert QUERIES["stream_progress"](spark, SF).agg({"n": "sum"}).first()[0] == con.sql("SELECT count(*) FROM events").fetchall()[0][0]
