@@ -40,9 +40,9 @@ STATE = 24
 STEPS = 32
 LANES = 512
 # Rounds of training: the first and the last draw (of DRAWS) of each, and its
-# rate. Together they are all documents. Classes of words come from the draws
-# below KINSHIP.
-DRAWS, KINSHIP = 16, 4
+# rate. Together they are all documents. Classes of words come from all of them
+# at once.
+DRAWS = 16
 ROUNDS = ((0, 2, 0.01), (2, 6, 0.01), (6, 16, 0.005))
 # Texts side by side in training, and words of a training task at least.
 TRAIN_LANES, TRAIN_WORDS = 256, 2_000_000
@@ -462,7 +462,7 @@ class Known:
         words = Lookup(self.tokens[: self.head])
         size = self.head
 
-        def drawn(low: int, high: int) -> DataFrame:
+        def in_round(low: int, high: int) -> DataFrame:
             return texts.where((F.col("draw") >= low) & (F.col("draw") < high)).select("text").coalesce(parts)
 
         def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -472,7 +472,7 @@ class Known:
                     yield np.where(at >= 0, at, size)
 
         wide = min(64, size) + 1
-        met = summed(drawn(0, KINSHIP), lambda batches: company(numbers(batches), size).reshape(-1), size * wide)
+        met = summed(in_round(0, DRAWS), lambda batches: company(numbers(batches), size).reshape(-1), size * wide)
         klass = classes_of(met.reshape(size, wide))
         model = Model(self.counts[:size].astype(float), klass, self.rest, self.ends)
         length = sum(v.size for v in model.w.values()) + model.size + 2 + model.n_classes
@@ -482,7 +482,7 @@ class Known:
             def work(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> np.ndarray:
                 return copy.deepcopy(sent.value).train(numbers(batches), rate)
 
-            model.add(summed(drawn(low, high), work, length))
+            model.add(summed(in_round(low, high), work, length))
             sent.unpersist()
         self.model = model
         self.model.ready()

@@ -386,6 +386,16 @@ def test_score(docs, monkeypatch):
     assert recurrent_lm.score(docs([])).count() == 0
 
 
+def test_classes_of_words_come_from_every_training_document(docs, monkeypatch):
+    rng, met = random.Random(15), []
+    classes_of = recurrent_lm.classes_of
+    monkeypatch.setattr(recurrent_lm, "classes_of", lambda m: met.append(m[:, -1]) or classes_of(m))
+    data = [(i, f"the {prose(rng, 5)}") for i in range(400)]
+    recurrent_lm.score(docs(data)).count()
+    # In how many texts a word is found: the most frequent one is in all.
+    assert met[0].max() == sum(zlib.crc32(str(i).encode()) % 5 != 1 for i, _ in data)
+
+
 def test_the_network_meets_every_training_word(docs, monkeypatch):
     met, rng = [], random.Random(21)
     add = recurrent_lm.Model.add
