@@ -34,7 +34,7 @@ MIN_CACHED_BYTES = 500
 FORMATS = {"jats": ("sec", "title", "article-title"), "tei": ("div", "head", "title")}
 
 # Payload bytes whose spans are held at a time.
-PARSED_BYTES = 8 << 20
+PARSED_BYTES = 1 << 20
 
 SPAN = "struct<first:int,size:int>"
 ARTICLE = f"struct<read:boolean,nodes:array<string>,body:{SPAN},title:{SPAN},sections:array<struct<head:{SPAN},parts:array<{SPAN}>>>>"
