@@ -183,6 +183,11 @@ class Model:
         for m in self.members:
             self.place[m] = np.arange(len(m))
         self.n_classes = n + 2
+        # Words in the order of their classes: where each class begins, and where each word is.
+        self.order = np.concatenate([*self.members, []]).astype(np.int64)
+        self.edges = np.cumsum([0, *map(len, self.members)])
+        self.at = np.arange(size + 2)
+        self.at[self.order] = np.arange(size)
         rng = np.random.default_rng(seed)
         mass = np.array([counts[m].sum() for m in self.members] + [rest, ends], float) + 0.5
         self.w = {
@@ -193,48 +198,63 @@ class Model:
             "cw": np.zeros((STATE, self.n_classes)),
             "cb": np.log(mass / mass.sum()),
             "ow": np.zeros((size, STATE)),
-            "ob": np.log(counts + 0.5) if size else np.zeros(0),
+            "ob": np.log(counts[self.order] + 0.5) if size else np.zeros(0),
         }
         self.w = {k: v.astype(np.float32) for k, v in self.w.items()}
-        self.gates, self.inner, self.bias = None, [], []
+        self.gates, self.outer, self.inner = None, None, []
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         """One word further: x are the gates' inputs from the word."""
-        u = h @ self.w["wh"]
-        zr = x[:, : 2 * STATE] + u[:, : 2 * STATE]
+        new, saved = self._step(np.ascontiguousarray(x.T), np.ascontiguousarray(h.T))
+        return new.T, saved
+
+    def _step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """The same with texts as columns, so that what belongs to a gate lies together."""
+        u = self.w["wh"].T @ h
+        zr = x[: 2 * STATE] + u[: 2 * STATE]
         zr *= 0.5
         np.tanh(zr, out=zr)
         zr += 1
         zr *= 0.5
-        z, r = zr[:, :STATE], zr[:, STATE:]
-        c = r * u[:, 2 * STATE :]
-        c += x[:, 2 * STATE :]
+        z, r = zr[:STATE], zr[STATE:]
+        c = r * u[2 * STATE :]
+        c += x[2 * STATE :]
         np.tanh(c, out=c)
         new = h - c
         new *= z
         new += c
         return new, (h, u, z, r, c)
 
+    def _fits(self) -> bool:
+        """True when no value before a softmax can be too large for exp: states
+        are between -1 and 1."""
+        w = self.w
+        tops = [np.abs(w["cw"]).sum(axis=0) + np.abs(w["cb"]), np.abs(w["ow"]).sum(axis=1) + np.abs(w["ob"])]
+        return max(float(t.max(initial=0)) for t in tops) < 60
+
     def _log_share(self, x: np.ndarray, k: np.ndarray) -> np.ndarray:
         """Log softmax of each row's entry k; x is used up."""
-        np.minimum(x, 80, out=x)
+        if not self.safe:
+            np.minimum(x, 80, out=x)
         chosen = x[np.arange(len(k)), k]
         return chosen - np.log(np.exp(x, out=x).sum(axis=1))
 
     def log_p(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log probability of each word (of the class of other words, for those)."""
         k = self.klass[y]
-        order = np.argsort(k, kind="stable")
-        h, k, place = h[order], k[order], self.place[y[order]]
+        order = np.argsort(k.astype(np.min_scalar_type(self.n_classes)), kind="stable")
+        h1 = np.ones((len(y), STATE + 1), h.dtype)
+        h1[:, :STATE] = h[order]
+        k, place = k[order], self.place[y[order]]
         found = np.empty(len(y), np.float32)
         for i in range(0, len(y), _ROWS):
             part = slice(i, i + _ROWS)
-            found[part] = self._log_share(h[part] @ self.w["cw"] + self.w["cb"], k[part])
+            found[part] = self._log_share(h1[part] @ self.outer, k[part])
         edges = np.searchsorted(k, np.arange(len(self.members) + 1))
         for c in range(len(self.members)):
             for i in range(edges[c], edges[c + 1], _ROWS):
                 part = slice(i, min(i + _ROWS, edges[c + 1]))
-                found[part] += self._log_share(h[part] @ self.inner[c] + self.bias[c], place[part])
+                found[part] += self._log_share(h1[part] @ self.inner[c], place[part])
         out = np.empty(len(y), np.float32)
         out[order] = found
         return out
@@ -244,73 +264,92 @@ class Model:
         and what counts, all (steps, lanes), from states h."""
         w, steps, lanes = self.w, *x.shape
         e = w["embed"][x]
-        gates = e @ w["wx"] + w["b"]
-        kept, states = [], np.empty((steps, lanes, STATE), gates.dtype)
+        gates = np.matmul(w["wx"].T, e.transpose(0, 2, 1))
+        gates += w["b"][:, None]
+        # States with a one beside them, which the softmax's constants go with.
+        kept, states = [], np.ones((steps, lanes, STATE + 1), gates.dtype)
         # A text starts from nothing where its first input is the end before it.
-        inside = (x != self.end).astype(np.float32)[:, :, None]
+        inside = (x != self.end).astype(np.float32)[:, None, :]
+        h = np.ascontiguousarray(h.T)
         for t in range(steps):
-            h, saved = self.step(gates[t], h * inside[t])
+            h, saved = self._step(gates[t], h * inside[t])
             kept.append(saved)
-            states[t] = h
-        flat, goal = states.reshape(-1, STATE), y.reshape(-1)
+            states[t, :, :STATE] = h.T
+        flat, goal = states.reshape(-1, STATE + 1), y.reshape(-1)
         live = np.flatnonzero(on.reshape(-1))
         live = live[np.argsort(self.klass[goal[live]].astype(np.min_scalar_type(self.n_classes)), kind="stable")]
         hs, ys = flat[live], goal[live]
         k, place = self.klass[ys], self.place[ys]
-        g = {n: np.zeros_like(w[n]) for n in ("cw", "cb", "ow", "ob")}
-        back, loss = np.empty_like(hs), 0.0
-
-        def share(p: np.ndarray, at: np.ndarray) -> float:
-            """Softmax of each row in place, less one at its entry; the log of those entries."""
-            p -= p.max(axis=1, keepdims=True)
+        back, safe, loss = np.empty((len(live), STATE), hs.dtype), self._fits(), 0.0
+
+        def share(part: slice, to: np.ndarray, fro: np.ndarray, at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+            """Of a softmax over rows: the log of the entries ``at``, what goes
+            back to the states, and the gradient of ``to``."""
+            p, row = hs[part] @ to, np.arange(len(at))
+            if not safe:
+                p -= p.max(axis=1, keepdims=True)
+            log = p[row, at].sum(dtype=float)
             np.exp(p, out=p)
-            p /= p.sum(axis=1, keepdims=True)
-            row = np.arange(len(at))
-            log = float(np.log(p[row, at]).sum())
-            p[row, at] -= 1
-            return log
-
+            b = p @ fro
+            total = b[:, STATE].copy()
+            p[row, at] -= total
+            inv = (1 / total)[:, None]
+            b *= inv
+            b -= fro[at]
+            return float(log - np.log(total).sum(dtype=float)), b[:, :STATE], (hs[part] * inv).T @ p
+
+        one = np.ones((1, self.n_classes), hs.dtype)
+        to, fro = np.concatenate([w["cw"], w["cb"][None]]), np.ascontiguousarray(np.concatenate([w["cw"], one]).T)
+        outer = np.zeros_like(to)
         for i in range(0, len(live), _ROWS):
             part = slice(i, i + _ROWS)
-            p = hs[part] @ w["cw"]
-            p += w["cb"]
-            loss -= share(p, k[part])
-            g["cw"] += hs[part].T @ p
-            g["cb"] += p.sum(axis=0)
-            back[part] = p @ w["cw"].T
+            log, back[part], d = share(part, to, fro, k[part])
+            loss -= log
+            outer += d
+        to = np.concatenate([w["ow"].T, w["ob"][None]])
+        fro = np.concatenate([w["ow"], np.ones((self.size, 1), hs.dtype)], axis=1)
+        inner = np.zeros_like(to)
         edges = np.searchsorted(k, np.arange(len(self.members) + 1))
-        for c, m in enumerate(self.members):
-            ow = w["ow"][m]
+        for c in range(len(self.members)):
+            own = slice(self.edges[c], self.edges[c + 1])
             for i in range(edges[c], edges[c + 1], _ROWS):
                 part = slice(i, min(i + _ROWS, edges[c + 1]))
-                q = hs[part] @ ow.T
-                q += w["ob"][m]
-                loss -= share(q, place[part])
-                g["ow"][m] += q.T @ hs[part]
-                g["ob"][m] += q.sum(axis=0)
-                back[part] += q @ ow
-        dh_all = np.zeros_like(flat)
+                log, b, d = share(part, to[:, own], fro[own], place[part])
+                loss -= log
+                back[part] += b
+                inner[:, own] += d
+        dh_all = np.zeros((steps * lanes, STATE), hs.dtype)
         dh_all[live] = back
-        dh_all = dh_all.reshape(states.shape)
-        dgates, dwh, dh = np.empty_like(gates), np.zeros_like(w["wh"]), np.zeros_like(h)
+        dh_all = dh_all.reshape(steps, lanes, STATE).transpose(0, 2, 1)
+        dgates, du, dwh, dh = np.empty_like(gates), np.empty_like(gates[0]), np.zeros_like(w["wh"]), np.zeros_like(h)
         for t in reversed(range(steps)):
             before, u, z, r, c = kept[t]
             dh = dh + dh_all[t]
-            dz, dc = dh * (before - c) * z * (1 - z), dh * (1 - z) * (1 - c * c)
-            dr = dc * u[:, 2 * STATE :] * r * (1 - r)
-            dgates[t] = np.concatenate([dz, dr, dc], axis=1)
-            du = np.concatenate([dz, dr, dc * r], axis=1)
-            dwh += before.T @ du
-            dh = (dh * z + du @ w["wh"].T) * inside[t]
-        d = dgates.reshape(-1, 3 * STATE)
-        g |= {"wh": dwh, "b": d.sum(axis=0), "wx": e.reshape(-1, STATE).T @ d}
+            d, rest = dgates[t], 1 - z
+            rest *= dh
+            np.multiply(before - c, z, out=d[:STATE])
+            d[:STATE] *= rest
+            dc = np.multiply(1 - c * c, rest, out=d[2 * STATE :])
+            dcr = np.multiply(dc, r, out=du[2 * STATE :])
+            np.multiply(dcr, u[2 * STATE :], out=d[STATE : 2 * STATE])
+            d[STATE : 2 * STATE] *= 1 - r
+            du[: 2 * STATE] = d[: 2 * STATE]
+            dwh += before @ du.T
+            dh *= z
+            dh += w["wh"] @ du
+            dh *= inside[t]
+        d = np.ascontiguousarray(dgates.transpose(0, 2, 1)).reshape(-1, 3 * STATE)
+        g = {"wh": dwh, "b": d.sum(axis=0), "wx": e.reshape(-1, STATE).T @ d}
+        g |= {"cw": outer[:STATE], "cb": outer[STATE], "ow": np.ascontiguousarray(inner[:STATE].T), "ob": inner[STATE]}
         g["embed"] = np.zeros_like(w["embed"])
         word = x.reshape(-1).astype(np.min_scalar_type(self.end))
         order = np.argsort(word, kind="stable")
         word, first = np.unique(word[order], return_index=True)
         g["embed"][word] = np.add.reduceat((d @ w["wx"].T)[order], first, axis=0)
         n = max(1, len(live))
-        return loss / n, {k_: v / n for k_, v in g.items()}, h
+        for v in g.values():
+            v /= n
+        return loss / n, g, h.T
 
     def train(self, texts: Iterator[np.ndarray], rate: float) -> np.ndarray:
         """One pass over texts, whole, in lanes: a lane takes the next text where
@@ -372,7 +411,7 @@ class Model:
     def _weights(self, met: np.ndarray, goals: np.ndarray) -> dict:
         """How much a task's values count: those of a word by how often it was
         met, those of a word in its class by how often the class was the next."""
-        inner = goals[self.klass[: self.size]].astype(float)
+        inner = goals[self.klass[self.order]].astype(float)
         every = {k: np.array(float(goals.sum())) for k in self.w}
         return every | {"embed": met[:, None].astype(float), "ow": inner[:, None], "ob": inner}
 
@@ -396,8 +435,10 @@ class Model:
     def ready(self) -> None:
         """Tables for scoring."""
         self.gates = self.w["embed"] @ self.w["wx"] + self.w["b"]
-        self.inner = [np.ascontiguousarray(self.w["ow"][m].T) for m in self.members]
-        self.bias = [self.w["ob"][m] for m in self.members]
+        self.outer = np.concatenate([self.w["cw"], self.w["cb"][None]])
+        inner = np.concatenate([self.w["ow"].T, self.w["ob"][None]])
+        self.inner = [np.ascontiguousarray(inner[:, a:b]) for a, b in itertools.pairwise(self.edges)]
+        self.safe = self._fits()
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each text with its end. The texts run side
@@ -407,7 +448,7 @@ class Model:
         for g in range(0, len(order), LANES):
             group = order[g : g + LANES]
             length = np.array([len(texts[i]) + 1 for i in group])
-            h, last = np.zeros((len(group), STATE), np.float32), np.full(len(group), self.end)
+            h, last = np.zeros((STATE, len(group)), np.float32), np.full(len(group), self.end)
             for t in range(0, int(length[0]), STEPS):
                 n = int((length > t).sum())
                 steps = min(STEPS, int(length[0]) - t)
@@ -419,11 +460,11 @@ class Model:
                 live = np.arange(t, t + steps)[:, None] < length[:n]
                 running = live.sum(axis=1)
                 states = np.zeros((steps, n, STATE), np.float32)
-                h = h[:n]
+                h = h[:, :n]
                 for s in range(steps):
                     k = int(running[s])
-                    h[:k] = self.step(self.gates[x[s, :k]], h[:k])[0]
-                    states[s, :k] = h[:k]
+                    h[:, :k] = self._step(np.ascontiguousarray(self.gates[x[s, :k]].T), h[:, :k])[0]
+                    states[s, :k] = h[:, :k].T
                 last = goal[-1].copy()
                 at = np.flatnonzero(live.reshape(-1))
                 logp = self.log_p(states.reshape(-1, STATE)[at], goal.reshape(-1)[at])

@@ -548,3 +548,25 @@ def test_the_rest_of_a_run_beside_a_fixed_match(spark):
     assert [text[a:b] for a, _, b in base] == ["0123456789abcdef" * 2]
     found = model.spans(text, secret_scan.merged([(a, b) for a, _, b in base]))
     assert found == [(0, 3, 25), (57, 3, len(text))]
+
+
+@pytest.mark.parametrize("scale", [0.5, 40.0])
+def test_recurrent_shares_with_mixed_classes(scale):
+    """Classes whose words do not follow each other, and values too large for exp."""
+    rng = np.random.default_rng(5)
+    m = recurrent_lm.Model(np.array([9.0, 5, 3, 2, 1]), np.array([1, 0, 1, 0, 1]), 4.0, 3.0)
+    m.w = {k: rng.normal(0, scale if k in ("cb", "ob") else 0.5, v.shape) for k, v in m.w.items()}
+    assert m._fits() == (scale < 1)
+    m.ready()
+    h = np.tanh(rng.normal(0, 1, (6, recurrent_lm.STATE)))
+    every = np.exp([m.log_p(h, np.full(6, y)).astype(float) for y in range(7)])
+    assert every.sum(axis=0) == pytest.approx(np.ones(6), rel=1e-4)
+    x, y, on = rng.integers(0, 7, (6, 3)), rng.integers(0, 7, (6, 3)), rng.random((6, 3)) < 0.8
+    g = m.gradients(x, y, on, h[:3])[1]
+    for k in ("cw", "cb", "ow", "ob", "embed"):
+        at, step, loss = np.unravel_index(np.abs(g[k]).argmax(), g[k].shape), 1e-5, []
+        for sign in (1, -2):
+            m.w[k][at] += sign * step
+            loss.append(m.gradients(x, y, on, h[:3])[0])
+        m.w[k][at] += step
+        assert g[k][at] == pytest.approx((loss[0] - loss[1]) / (2 * step), rel=1e-3, abs=1e-7)
