@@ -21,6 +21,7 @@ to the tasks; what a document needs of the rest is joined by word.
 from __future__ import annotations
 
 import copy
+import heapq
 import itertools
 from collections.abc import Callable, Iterator
 
@@ -83,6 +84,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+# Keys looked up at a time, so that the work arrays stay in the processor's cache.
+_KEYS = 1 << 15
+
+
 class Lookup:
     """Positions of 64-bit keys, by an open table."""
 
@@ -105,7 +110,12 @@ class Lookup:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The position of each key, -1 for one that is not there."""
-        out = np.full(len(keys), -1, np.int64)
+        out = np.full(len(keys), -1, np.int32)
+        for i in range(0, len(keys), _KEYS):
+            self._find(keys[i : i + _KEYS], out[i : i + _KEYS])
+        return out
+
+    def _find(self, keys: np.ndarray, out: np.ndarray) -> None:
         place = (keys & self.mask).astype(np.int64)
         todo = None
         for _ in range(self.probes):
@@ -121,7 +131,6 @@ class Lookup:
             if not len(todo):
                 break
             place[todo] = (place[todo] + 1) & int(self.mask)
-        return out
 
 
 def company(texts: Iterator[np.ndarray], size: int) -> np.ndarray:
@@ -167,6 +176,8 @@ def classes_of(met: np.ndarray, seed: int = 8) -> np.ndarray:
 
 # Rows of a softmax at a time, so that it stays in the processor's cache.
 _ROWS = 1024
+# Values updated at a time, for the same reason.
+_VALUES = 1 << 14
 
 
 class Model:
@@ -177,6 +188,9 @@ class Model:
         size = len(counts)
         self.size, self.other, self.end = size, size, size + 1
         n = int(klass.max()) + 1 if size else 0
+        # Classes of as many words follow each other.
+        widths = np.bincount(klass, minlength=n)
+        klass = np.argsort(np.argsort(widths, kind="stable"))[klass]
         self.members = [np.flatnonzero(klass == c) for c in range(n)]
         self.klass = np.concatenate([klass, [n, n + 1]]).astype(np.int64)
         self.place = np.zeros(size + 2, np.int64)
@@ -186,6 +200,8 @@ class Model:
         # Words in the order of their classes: where each class begins, and where each word is.
         self.order = np.concatenate([*self.members, []]).astype(np.int64)
         self.edges = np.cumsum([0, *map(len, self.members)])
+        # First and last class of each number of words.
+        self.alike = [(g[0], g[-1] + 1) for _, g in ((w, list(g)) for w, g in itertools.groupby(range(n), lambda c: len(self.members[c])))]
         self.at = np.arange(size + 2)
         self.at[self.order] = np.arange(size)
         rng = np.random.default_rng(seed)
@@ -237,24 +253,31 @@ class Model:
         if not self.safe:
             np.minimum(x, 80, out=x)
         chosen = x[np.arange(len(k)), k]
-        return chosen - np.log(np.exp(x, out=x).sum(axis=1))
+        return chosen - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
     def log_p(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log probability of each word (of the class of other words, for those)."""
+        return self._log_p(np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1), np.arange(len(y)), y)
+
+    def _log_p(self, states: np.ndarray, at: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The same for the states at the given places, with a one beside each."""
         k = self.klass[y]
         order = np.argsort(k.astype(np.min_scalar_type(self.n_classes)), kind="stable")
-        h1 = np.ones((len(y), STATE + 1), h.dtype)
-        h1[:, :STATE] = h[order]
+        h1 = states[at[order]]
         k, place = k[order], self.place[y[order]]
         found = np.empty(len(y), np.float32)
         for i in range(0, len(y), _ROWS):
             part = slice(i, i + _ROWS)
             found[part] = self._log_share(h1[part] @ self.outer, k[part])
         edges = np.searchsorted(k, np.arange(len(self.members) + 1))
-        for c in range(len(self.members)):
-            for i in range(edges[c], edges[c + 1], _ROWS):
-                part = slice(i, min(i + _ROWS, edges[c + 1]))
-                found[part] += self._log_share(h1[part] @ self.inner[c], place[part])
+        for low, high in self.alike:
+            part = slice(edges[low], edges[high])
+            v = np.empty((edges[high] - edges[low], len(self.members[low])), np.result_type(h1, self.outer))
+            for c in range(low, high):
+                a, b = edges[c], edges[c + 1]
+                if a < b:
+                    np.matmul(h1[a:b], self.inner[c], out=v[a - edges[low] : b - edges[low]])
+            found[part] += self._log_share(v, place[part])
         out = np.empty(len(y), np.float32)
         out[order] = found
         return out
@@ -271,8 +294,9 @@ class Model:
         # A text starts from nothing where its first input is the end before it.
         inside = (x != self.end).astype(np.float32)[:, None, :]
         h = np.ascontiguousarray(h.T)
+        begins = (x == self.end).any(axis=1).tolist()
         for t in range(steps):
-            h, saved = self._step(gates[t], h * inside[t])
+            h, saved = self._step(gates[t], h * inside[t] if begins[t] else h)
             kept.append(saved)
             states[t, :, :STATE] = h.T
         flat, goal = states.reshape(-1, STATE + 1), y.reshape(-1)
@@ -282,49 +306,58 @@ class Model:
         k, place = self.klass[ys], self.place[ys]
         back, safe, loss = np.empty((len(live), STATE), hs.dtype), self._fits(), 0.0
 
-        def share(part: slice, to: np.ndarray, fro: np.ndarray, at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-            """Of a softmax over rows: the log of the entries ``at``, what goes
-            back to the states, and the gradient of ``to``."""
-            p, row = hs[part] @ to, np.arange(len(at))
+        def share(edges: list[int], own: list[int], to: np.ndarray, fro: np.ndarray, at: np.ndarray, word: np.ndarray) -> np.ndarray:
+            """Of softmaxes of one width, each over the rows between two edges and
+            with its own words: what goes back to the states. Adds to the loss
+            and to the gradient of ``to``. Entries are given by their place in
+            the softmax (``at``) and among all words."""
+            nonlocal loss
+            first, n = edges[0], edges[-1] - edges[0]
+            blocks = [
+                (slice(a, b), slice(a - first, b - first), slice(v, w))
+                for (a, b), (v, w) in zip(itertools.pairwise(edges), itertools.pairwise(own), strict=True)
+                if a < b
+            ]
+            p, row, b = np.empty((n, own[1] - own[0]), hs.dtype), np.arange(n), np.empty((n, STATE + 1), hs.dtype)
+            for rows, mine, words in blocks:
+                np.matmul(hs[rows], to[words].T, out=p[mine])
             if not safe:
                 p -= p.max(axis=1, keepdims=True)
-            log = p[row, at].sum(dtype=float)
+            loss -= p[row, at].sum(dtype=float)
             np.exp(p, out=p)
-            b = p @ fro
+            for _, mine, words in blocks:
+                np.matmul(p[mine], fro[words], out=b[mine])
             total = b[:, STATE].copy()
             p[row, at] -= total
+            loss += np.log(total).sum(dtype=float)
             inv = (1 / total)[:, None]
             b *= inv
-            b -= fro[at]
-            return float(log - np.log(total).sum(dtype=float)), b[:, :STATE], (hs[part] * inv).T @ p
-
-        one = np.ones((1, self.n_classes), hs.dtype)
-        to, fro = np.concatenate([w["cw"], w["cb"][None]]), np.ascontiguousarray(np.concatenate([w["cw"], one]).T)
-        outer = np.zeros_like(to)
+            b -= fro[word]
+            inv = hs[first : first + n] * inv
+            for _, mine, words in blocks:
+                grown[words] += p[mine].T @ inv[mine]
+            return b[:, :STATE]
+
+        to = np.concatenate([w["cw"].T, w["cb"][:, None]], axis=1)
+        fro = np.concatenate([w["cw"].T, np.ones((self.n_classes, 1), hs.dtype)], axis=1)
+        outer = grown = np.zeros_like(to)
         for i in range(0, len(live), _ROWS):
             part = slice(i, i + _ROWS)
-            log, back[part], d = share(part, to, fro, k[part])
-            loss -= log
-            outer += d
-        to = np.concatenate([w["ow"].T, w["ob"][None]])
+            back[part] = share([i, min(i + _ROWS, len(live))], [0, self.n_classes], to, fro, k[part], k[part])
+        to = np.concatenate([w["ow"], w["ob"][:, None]], axis=1)
         fro = np.concatenate([w["ow"], np.ones((self.size, 1), hs.dtype)], axis=1)
-        inner = np.zeros_like(to)
-        edges = np.searchsorted(k, np.arange(len(self.members) + 1))
-        for c in range(len(self.members)):
-            own = slice(self.edges[c], self.edges[c + 1])
-            for i in range(edges[c], edges[c + 1], _ROWS):
-                part = slice(i, min(i + _ROWS, edges[c + 1]))
-                log, b, d = share(part, to[:, own], fro[own], place[part])
-                loss -= log
-                back[part] += b
-                inner[:, own] += d
+        inner = grown = np.zeros_like(to)
+        edges, own, at = np.searchsorted(k, np.arange(len(self.members) + 1)).tolist(), self.edges.tolist(), self.at[ys]
+        for low, high in self.alike:
+            part = slice(edges[low], edges[high])
+            back[part] += share(edges[low : high + 1], own[low : high + 1], to, fro, place[part], at[part])
         dh_all = np.zeros((steps * lanes, STATE), hs.dtype)
         dh_all[live] = back
         dh_all = dh_all.reshape(steps, lanes, STATE).transpose(0, 2, 1)
         dgates, du, dwh, dh = np.empty_like(gates), np.empty_like(gates[0]), np.zeros_like(w["wh"]), np.zeros_like(h)
         for t in reversed(range(steps)):
             before, u, z, r, c = kept[t]
-            dh = dh + dh_all[t]
+            dh += dh_all[t]
             d, rest = dgates[t], 1 - z
             rest *= dh
             np.multiply(before - c, z, out=d[:STATE])
@@ -337,15 +370,18 @@ class Model:
             dwh += before @ du.T
             dh *= z
             dh += w["wh"] @ du
-            dh *= inside[t]
-        d = np.ascontiguousarray(dgates.transpose(0, 2, 1)).reshape(-1, 3 * STATE)
-        g = {"wh": dwh, "b": d.sum(axis=0), "wx": e.reshape(-1, STATE).T @ d}
-        g |= {"cw": outer[:STATE], "cb": outer[STATE], "ow": np.ascontiguousarray(inner[:STATE].T), "ob": inner[STATE]}
+            if begins[t]:
+                dh *= inside[t]
+        db = (dgates.reshape(-1, lanes) @ np.ones(lanes, dgates.dtype)).reshape(steps, -1).sum(axis=0)
+        g = {"wh": dwh, "b": db, "wx": np.matmul(dgates, e).sum(axis=0).T}
+        g |= {"cw": outer[:, :STATE].T, "cb": outer[:, STATE], "ow": inner[:, :STATE], "ob": inner[:, STATE]}
+        g = {k: np.ascontiguousarray(v) for k, v in g.items()}
+        de = np.matmul(dgates.transpose(0, 2, 1), w["wx"].T).reshape(-1, STATE)
         g["embed"] = np.zeros_like(w["embed"])
         word = x.reshape(-1).astype(np.min_scalar_type(self.end))
         order = np.argsort(word, kind="stable")
         word, first = np.unique(word[order], return_index=True)
-        g["embed"][word] = np.add.reduceat((d @ w["wx"].T)[order], first, axis=0)
+        g["embed"][word] = np.add.reduceat(de[order], first, axis=0)
         n = max(1, len(live))
         for v in g.values():
             v /= n
@@ -354,59 +390,89 @@ class Model:
     def train(self, texts: Iterator[np.ndarray], rate: float) -> np.ndarray:
         """One pass over texts, whole, in lanes: a lane takes the next text where
         its last one ends, the state carried through each. Returns ``change``."""
-        start = {k: v.copy() for k, v in self.w.items()}
+        begun = {k: v.copy() for k, v in self.w.items()}
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.w.items()}
         met, goals = np.zeros(self.size + 2, np.int64), np.zeros(self.n_classes, np.int64)
+        step, held, waiting = 0, {}, 0
+
+        def update(g: dict) -> None:
+            nonlocal step
+            step += 1
+            big = np.sqrt(sum(float(np.vdot(d, d)) for d in g.values()))
+            fit = np.float32(min(1.0, 1.0 / max(big, 1e-9)))
+            pace = np.float32(rate * (1 - 0.99**step) ** 0.5 / (1 - 0.9**step))
+            for k, all_d in g.items():
+                for i in range(0, all_d.size, _VALUES):
+                    d, m1, m2, v = (a.reshape(-1)[i : i + _VALUES] for a in (all_d, m[k], v2[k], self.w[k]))
+                    # Ten times the mean and a hundred times that of squares.
+                    d *= fit
+                    m1 *= np.float32(0.9)
+                    m1 += d
+                    d *= d
+                    m2 *= np.float32(0.99)
+                    m2 += d
+                    np.sqrt(m2, out=d)
+                    d += np.float32(1e-6)
+                    np.divide(m1, d, out=d)
+                    d *= pace
+                    v -= d
+
         # The first texts say how many lanes there is work for.
-        held, size = [], 0
+        first, size = [], 0
         for t in texts:
-            held.append(t)
+            first.append(t)
             size += len(t) + 1
             if size >= TRAIN_LANES * STEPS * 4:
                 break
         lanes = max(1, min(TRAIN_LANES, size // (STEPS * 4)))
-        texts = itertools.chain(held, texts)
-        end, step = np.array([self.end]), 0
-        lane, h = [end] * lanes, np.zeros((lanes, STATE), np.float32)
+        texts = itertools.chain(first, texts)
+        # The lanes' words, each lane's between two places of a pool.
+        pool, top = np.empty(2 * size + lanes, np.int32), lanes
+        pool[:lanes] = self.end
+        start, stop, h = np.arange(lanes), np.arange(lanes) + 1, np.zeros((lanes, STATE), np.float32)
         while True:
-            for j in range(len(lane)):
+            for j in np.flatnonzero(stop - start <= STEPS):
                 # A lane begins with the word before its next one.
-                while len(lane[j]) <= STEPS and (t := next(texts, None)) is not None:
-                    lane[j] = np.concatenate([lane[j], t, end])
+                while stop[j] - start[j] <= STEPS and (t := next(texts, None)) is not None:
+                    more = stop[j] - start[j] + len(t) + 1
+                    if top + more > len(pool):
+                        old = [pool[a:b] for a, b in zip(start, stop, strict=True)]
+                        stop = np.cumsum([len(o) for o in old])
+                        start, top = np.append(0, stop[:-1]), int(stop[-1])
+                        pool = np.empty(max(len(pool), 2 * (top + more)), np.int32)
+                        pool[:top] = np.concatenate(old)
+                    pool[top : top + more - len(t) - 1] = pool[start[j] : stop[j]]
+                    pool[top + more - len(t) - 1 : top + more - 1] = t
+                    pool[top + more - 1] = self.end
+                    start[j], stop[j] = top, top + more
+                    top += more
             # Where texts ran out, lanes close, and the rest take longer windows.
-            running = [j for j in range(len(lane)) if len(lane[j]) > 1]
-            if not running:
+            running = stop - start > 1
+            if not running.any():
                 break
-            lane, h = [lane[j] for j in running], h[running]
-            steps = STEPS * min(16, lanes // len(lane))
-            window, on = np.full((len(lane), steps + 1), self.end), np.zeros((len(lane), steps), bool)
-            for j in range(len(lane)):
-                n = min(len(lane[j]), steps + 1)
-                window[j, :n] = lane[j][:n]
-                on[j, : n - 1] = True
-                lane[j] = lane[j][n - 1 :]
-            step += 1
+            start, stop, h = start[running], stop[running], h[running]
+            steps = STEPS * min(16, lanes // len(start))
+            ahead, left = np.arange(steps + 1), (stop - start)[:, None]
+            window = np.where(ahead < left, pool[np.minimum(start[:, None] + ahead, top - 1)], self.end).astype(np.int64)
+            on = ahead[1:] < left
+            start = np.minimum(start + steps, stop - 1)
             x, y, on = window[:, :-1].T, window[:, 1:].T, on.T
             _, g, h = self.gradients(x, y, on, h)
             met += np.bincount(x[on], minlength=self.size + 2)
             goals += np.bincount(self.klass[y[on]], minlength=self.n_classes)
-            big = np.sqrt(sum(float(np.vdot(d, d)) for d in g.values()))
-            fit = np.float32(min(1.0, 1.0 / max(big, 1e-9)))
-            pace = np.float32(rate * (1 - 0.99**step) ** 0.5 / (1 - 0.9**step))
-            for k, d in g.items():
-                d *= fit
-                m[k] *= np.float32(0.9)
-                m[k] += np.float32(0.1) * d
-                d *= d
-                v2[k] *= np.float32(0.99)
-                v2[k] += np.float32(0.01) * d
-                d = np.sqrt(v2[k], out=d)
-                d += np.float32(1e-7)
-                np.divide(m[k], d, out=d)
-                d *= pace
-                self.w[k] -= d
-        return self.change(start, met, goals)
+            n = int(on.sum())
+            if held or 2 * n < lanes * STEPS:
+                # A few lanes' words alone would lead away: their gradients wait for more.
+                held, waiting = {k: held.get(k, 0) + d * np.float32(n) for k, d in g.items()}, waiting + n
+                if 2 * waiting < lanes * STEPS:
+                    continue
+                g = {k: d / np.float32(waiting) for k, d in held.items()}
+                held, waiting = {}, 0
+            update(g)
+        if held:
+            update({k: d / np.float32(lanes * STEPS) for k, d in held.items()})
+        return self.change(begun, met, goals)
 
     def _weights(self, met: np.ndarray, goals: np.ndarray) -> dict:
         """How much a task's values count: those of a word by how often it was
@@ -442,33 +508,44 @@ class Model:
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each text with its end. The texts run side
-        by side, longest first, so those still running are always the first ones."""
-        out = np.zeros(len(texts))
-        order = np.argsort([-len(t) for t in texts], kind="stable")
-        for g in range(0, len(order), LANES):
-            group = order[g : g + LANES]
-            length = np.array([len(texts[i]) + 1 for i in group])
-            h, last = np.zeros((STATE, len(group)), np.float32), np.full(len(group), self.end)
-            for t in range(0, int(length[0]), STEPS):
-                n = int((length > t).sum())
-                steps = min(STEPS, int(length[0]) - t)
-                goal = np.full((steps, n), self.end)
-                for j in range(n):
-                    part = texts[group[j]][t : t + steps]
-                    goal[: len(part), j] = part
-                x = np.concatenate([last[None, :n], goal[:-1]])
-                live = np.arange(t, t + steps)[:, None] < length[:n]
-                running = live.sum(axis=1)
-                states = np.zeros((steps, n, STATE), np.float32)
-                h = h[:, :n]
-                for s in range(steps):
-                    k = int(running[s])
-                    h[:, :k] = self._step(np.ascontiguousarray(self.gates[x[s, :k]].T), h[:, :k])[0]
-                    states[s, :k] = h[:, :k].T
-                last = goal[-1].copy()
-                at = np.flatnonzero(live.reshape(-1))
-                logp = self.log_p(states.reshape(-1, STATE)[at], goal.reshape(-1)[at])
-                out[group[:n]] += np.bincount(at % n, weights=logp, minlength=n)
+        by side in lanes of about the same length, one after another in each."""
+        if not texts:
+            return np.zeros(0)
+        length = np.array([len(t) + 1 for t in texts])
+        count = max(1, min(LANES, int(length.sum() // length.max())))
+        # Longest first, each to the lane that is shortest so far.
+        free, lanes = [(0, j) for j in range(count)], [[] for _ in range(count)]
+        for i in np.argsort(-length, kind="stable").tolist():
+            n, j = free[0]
+            lanes[j].append(i)
+            heapq.heapreplace(free, (n + int(length[i]), j))
+        # The longest lane first, so those still running are always the first ones.
+        size = np.array([n for n, _ in sorted(free, key=lambda f: f[1])])
+        lanes, size = [lanes[j] for j in np.argsort(-size, kind="stable")], -np.sort(-size)
+        words, found = np.full((size[0] + 1, count), self.end, np.int32), np.zeros((count, size[0]), np.float32)
+        for j, own in enumerate(lanes):
+            words[: size[j], j] = np.concatenate([part for i in own for part in ([self.end], texts[i])])
+        h = np.zeros((STATE, count), np.float32)
+        for t in range(0, int(size[0]), STEPS):
+            steps = min(STEPS, int(size[0]) - t)
+            x, goal = words[t : t + steps], words[t + 1 : t + steps + 1]
+            running = (np.arange(t, t + steps)[:, None] < size).sum(axis=1)
+            n = running[0]
+            # A text starts from nothing where its first input is the end before it.
+            inside = (x != self.end).astype(np.float32)
+            states = np.ones((steps, n, STATE + 1), np.float32)
+            for s, k in enumerate(running.tolist()):
+                h = h[:, :k] * inside[s, :k]
+                h = self._step(np.ascontiguousarray(self.gates[x[s, :k]].T), h)[0]
+                states[s, :k, :STATE] = h.T
+            at = np.flatnonzero(np.arange(n) < running[:, None])
+            logp = np.zeros(steps * n, np.float32)
+            logp[at] = self._log_p(states.reshape(-1, STATE + 1), at, goal[:, :n].reshape(-1)[at])
+            found[:n, t : t + steps] = logp.reshape(steps, n).T
+        # What lies behind a lane's last text is 0.
+        starts = np.concatenate([j * size[0] + np.cumsum(np.append(0, length[own][:-1])) for j, own in enumerate(lanes)])
+        out = np.empty(len(texts))
+        out[np.concatenate(lanes)] = np.add.reduceat(found.reshape(-1), starts, dtype=float)
         return out
 
 
@@ -499,18 +576,20 @@ class Known:
     def learn(self, docs: DataFrame) -> None:
         """Classes and network, from all training documents."""
         texts = training_texts(docs)
-        parts = max(docs.sparkSession.sparkContext.defaultParallelism, self.total // TRAIN_WORDS)
+        cores = docs.sparkSession.sparkContext.defaultParallelism
         words = Lookup(self.tokens[: self.head])
         size = self.head
 
         def in_round(low: int, high: int) -> DataFrame:
+            # A task ends on its longest texts alone, so a small round has few tasks.
+            parts = max(cores, self.total * (high - low) // DRAWS // TRAIN_WORDS)
             return texts.where((F.col("draw") >= low) & (F.col("draw") < high)).select("text").coalesce(parts)
 
         def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             for batch in batches:
-                for w in sh.words_of(batch.column(0)):
-                    at = words.find(w)
-                    yield np.where(at >= 0, at, size)
+                for _, _, hashes, counts in sh._chunks(batch.column(0)):
+                    at = words.find(hashes)
+                    yield from np.split(np.where(at >= 0, at, size), np.cumsum(counts)[:-1])
 
         wide = min(64, size) + 1
         met = summed(in_round(0, DRAWS), lambda batches: company(numbers(batches), size).reshape(-1), size * wide)
@@ -609,28 +688,23 @@ def score(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         know = sent.value
         ends = know.base(np.array([know.ends]))[0]
+        # By position of the word; the last one is for words that are not there.
+        head = np.arange(len(know.counts)) < know.head
+        base_of, rest_of = (np.append(v, 0.0) for v in (know.base(know.counts), np.where(head, 0.0, know.in_rest(know.counts))))
+        number_of = np.append(np.where(head, np.arange(len(head)), know.head), know.head).astype(np.int32)
         for batch in batches:
-            words = [w.copy() for w in sh.words_of(batch.column(2))]
-            if not words:
+            chunks = list(sh._chunks(batch.column(2)))
+            if not chunks:
                 continue
-            length = np.array([len(w) for w in words])
-            every = np.concatenate(words)
-            owner = np.repeat(np.arange(len(words)), length)
+            every, length = (np.concatenate([c[i] for c in chunks]) for i in (2, 3))
+            n, edges = len(length), np.cumsum(length) - length
+            owner = np.repeat(np.arange(n), length)
             at = know.lookup.find(every)
-            c = np.append(know.counts, 0)[at]
             hit = at >= 0
-            n = len(words)
-
-            def added(values: np.ndarray, where: np.ndarray, owner=owner, n=n) -> np.ndarray:
-                return np.bincount(owner[where], weights=values, minlength=n)
-
-            base = added(know.base(c[hit]), hit) + ends
-            number = np.where(hit & (at < know.head), at, know.head)
-            edges = np.cumsum(length) - length
-            texts = [number[e : e + k] for e, k in zip(edges, length, strict=True)]
-            logp = know.model.score(texts) * LOG10
-            mid = hit & (at >= know.head)
-            logp += added(know.in_rest(c[mid]), mid)
+            base = np.bincount(owner, weights=base_of[at], minlength=n) + ends
+            logp = np.bincount(owner, weights=rest_of[at], minlength=n)
+            number = number_of[at]
+            logp += know.model.score([number[e : e + k] for e, k in zip(edges, length, strict=True)]) * LOG10
             # Words that are not among the frequent ones, once per text.
             far = np.flatnonzero(~hit)
             far = far[np.lexsort((every[far], owner[far]))]
@@ -642,6 +716,7 @@ def score(docs: DataFrame) -> DataFrame:
             item = pa.StructArray.from_arrays(
                 [pa.array(token[fresh].view(np.int64)), pa.array(tf.astype(np.int64))], ["token", "tf"]
             )
+            words = (every[e : e + k] for e, k in zip(edges, length, strict=True))
             mark = np.array([int(sh.mix(w * np.arange(1, 2 * len(w), 2, dtype=np.uint64)).sum(dtype=np.uint64)) for w in words], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [

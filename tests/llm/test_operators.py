@@ -570,3 +570,33 @@ def test_recurrent_shares_with_mixed_classes(scale):
             loss.append(m.gradients(x, y, on, h[:3])[0])
         m.w[k][at] += step
         assert g[k][at] == pytest.approx((loss[0] - loss[1]) / (2 * step), rel=1e-3, abs=1e-7)
+
+
+def test_recurrent_scoring_keeps_its_lanes_busy(monkeypatch):
+    """Texts of very unlike lengths, an empty one among them, score as each does alone."""
+    rng = np.random.default_rng(6)
+    m = recurrent_lm.Model(np.array([9.0, 5, 3, 2, 1]), np.array([1, 0, 1, 0, 1]), 4.0, 3.0)
+    m.w = {k: v + rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in m.w.items()}
+    m.ready()
+    texts = [rng.integers(0, 6, n) for n in [0, *rng.integers(1, 2000, 1100)]]
+    widths, step = [], recurrent_lm.Model._step
+    monkeypatch.setattr(recurrent_lm.Model, "_step", lambda self, x, h: widths.append(h.shape[1]) or step(self, x, h))
+    got = m.score(texts)
+    assert sum(widths) == sum(len(t) + 1 for t in texts)
+    assert np.mean(widths) > 0.9 * max(widths)
+    assert got[:40] == pytest.approx([m.score([t])[0] for t in texts[:40]], rel=1e-4)
+    assert len(m.score([])) == 0
+
+
+def test_a_long_text_alone_does_not_lead_the_network_away():
+    """Its gradients wait until there are about as many words as the lanes bring."""
+    rng = np.random.default_rng(7)
+    short = [np.resize([0, 1, 2], rng.integers(60, 140)) for _ in range(400)]
+    counts, klass = np.array([9.0, 9, 9, 9, 9]), np.array([0, 0, 1, 1, 1])
+    plain, longer = (recurrent_lm.Model(counts, klass, 1.0, 3.0) for _ in range(2))
+    plain.train(iter(short), 0.01)
+    goals = longer.train(iter([*short, np.full(6000, 4)]), 0.01)[-longer.n_classes :]
+    assert goals.sum() == sum(len(t) + 1 for t in short) + 6001
+    for m in (plain, longer):
+        m.ready()
+    assert longer.score(short[:50]).sum() > 1.2 * plain.score(short[:50]).sum()
