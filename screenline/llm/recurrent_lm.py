@@ -20,6 +20,7 @@ to the tasks; what a document needs of the rest is joined by word.
 
 from __future__ import annotations
 
+import collections
 import copy
 import heapq
 import itertools
@@ -51,6 +52,9 @@ TRAIN_LANES, TRAIN_WORDS = 256, 2_000_000
 SPAN = 1 << 13
 END = np.uint64(0x2545F4914F6CDD1D)
 LOG10 = 1.0 / np.log(10.0)
+# What the gates' inputs are multiplied with, so that exp comes next: of a
+# logistic function, of another one, of a tanh.
+FACTOR = np.repeat(np.float32([-1, -1, 2]), STATE)
 
 
 def held_out() -> Column:
@@ -67,7 +71,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     parts, size = [], 0
     for batch in batches:
-        for _, _, hashes, counts in sh._chunks(batch.column(0)):
+        for _, _, hashes, counts in sh._chunks(batch.column(0), sh.piece_hashes):
             parts += [hashes, np.full(len(counts), END)]
             size += len(hashes) + len(counts)
             if size > 4_000_000:
@@ -133,16 +137,25 @@ class Lookup:
             place[todo] = (place[todo] + 1) & int(self.mask)
 
 
+# Texts whose words' company is added up at a time.
+_TEXTS = 128
+
+
 def company(texts: Iterator[np.ndarray], size: int) -> np.ndarray:
     """Added up over texts, for each of ``size`` words: the most frequent words
     of the texts that hold it, and the number of these texts."""
     top = min(64, size)
     out = np.zeros((size, top + 1))
-    for s in texts:
-        s = s[s < size]
-        about = np.bincount(s[s < top], minlength=top)[:top]
-        about = np.append(about / max(1.0, np.linalg.norm(about)), 1.0)
-        out[np.flatnonzero(np.bincount(s, minlength=size))] += about
+    while some := list(itertools.islice(texts, _TEXTS)):
+        n, word, text = len(some), np.concatenate(some), np.repeat(np.arange(len(some)), [len(s) for s in some])
+        about = np.ones((n, top + 1), np.float32)
+        few = word < top
+        about[:, :top] = np.bincount(text[few] * top + word[few], minlength=n * top).reshape(n, top)
+        about[:, :top] /= np.maximum(1, np.linalg.norm(about[:, :top], axis=1, keepdims=True))
+        # Which word is in which text, a row for each word.
+        known, held = word < size, np.zeros((size, n), np.float32)
+        held.reshape(-1)[word[known].astype(np.int64) * n + text[known]] = 1
+        out += held @ about
     return out
 
 
@@ -174,6 +187,23 @@ def classes_of(met: np.ndarray, seed: int = 8) -> np.ndarray:
     return out
 
 
+# Words of the texts that wait for a lane, see ``last_by_length``.
+_WAIT = 1 << 19
+
+
+def last_by_length(texts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """Texts in their order, but the last ones, of _WAIT words together, longest
+    first, so that lanes end at about the same time."""
+    held, size = collections.deque(), 0
+    for t in texts:
+        held.append(t)
+        size += len(t) + 1
+        while size > _WAIT:
+            size -= len(held[0]) + 1
+            yield held.popleft()
+    yield from sorted(held, key=len, reverse=True)
+
+
 # Rows of a softmax at a time, so that it stays in the processor's cache.
 _ROWS = 1024
 # Values updated at a time, for the same reason.
@@ -217,25 +247,43 @@ class Model:
             "ob": np.log(counts[self.order] + 0.5) if size else np.zeros(0),
         }
         self.w = {k: v.astype(np.float32) for k, v in self.w.items()}
-        self.gates, self.outer, self.inner = None, None, []
+        self.table, self.into, self.on, self.outer, self.inner = None, None, None, None, []
+
+    @property
+    def gates(self) -> np.ndarray:
+        """The gates' inputs from each word."""
+        return self.w["embed"] @ self.w["wx"] + self.w["b"]
+
+    def _steps(self) -> None:
+        """Tables for steps: words with a one beside them, which the gates'
+        constants go with, and the way from words and from states to the gates."""
+        w = self.w
+        self.table = np.concatenate([w["embed"], np.ones((self.size + 2, 1), w["embed"].dtype)], axis=1)
+        self.into = np.ascontiguousarray((np.concatenate([w["wx"], w["b"][None]]) * FACTOR).T)
+        self.on = np.ascontiguousarray((w["wh"] * FACTOR).T)
 
+    @np.errstate(over="ignore")
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         """One word further: x are the gates' inputs from the word."""
-        new, saved = self._step(np.ascontiguousarray(x.T), np.ascontiguousarray(h.T))
+        new, saved = self._step(np.ascontiguousarray((x * FACTOR).T), np.ascontiguousarray(h.T))
         return new.T, saved
 
     def _step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """The same with texts as columns, so that what belongs to a gate lies together."""
-        u = self.w["wh"].T @ h
+        """The same with texts as columns, so that what belongs to a gate lies
+        together, and with inputs times FACTOR. What is too large for exp gives
+        infinity, and the gate its limit."""
+        u = self.on @ h
         zr = x[: 2 * STATE] + u[: 2 * STATE]
-        zr *= 0.5
-        np.tanh(zr, out=zr)
+        np.exp(zr, out=zr)
         zr += 1
-        zr *= 0.5
+        np.divide(1, zr, out=zr)
         z, r = zr[:STATE], zr[STATE:]
         c = r * u[2 * STATE :]
         c += x[2 * STATE :]
-        np.tanh(c, out=c)
+        np.exp(c, out=c)
+        c += 1
+        np.divide(-2, c, out=c)
+        c += 1
         new = h - c
         new *= z
         new += c
@@ -245,14 +293,15 @@ class Model:
         """True when no value before a softmax can be too large for exp: states
         are between -1 and 1."""
         w = self.w
-        tops = [np.abs(w["cw"]).sum(axis=0) + np.abs(w["cb"]), np.abs(w["ow"]).sum(axis=1) + np.abs(w["ob"])]
+        one = np.ones(STATE, w["ow"].dtype)
+        tops = [one @ np.abs(w["cw"]) + np.abs(w["cb"]), np.abs(w["ow"]) @ one + np.abs(w["ob"])]
         return max(float(t.max(initial=0)) for t in tops) < 60
 
     def _log_share(self, x: np.ndarray, k: np.ndarray) -> np.ndarray:
         """Log softmax of each row's entry k; x is used up."""
         if not self.safe:
             np.minimum(x, 80, out=x)
-        chosen = x[np.arange(len(k)), k]
+        chosen = x.reshape(-1).take(np.arange(0, x.size, x.shape[1]) + k)
         return chosen - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
     def log_p(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -263,7 +312,7 @@ class Model:
         """The same for the states at the given places, with a one beside each."""
         k = self.klass[y]
         order = np.argsort(k.astype(np.min_scalar_type(self.n_classes)), kind="stable")
-        h1 = states[at[order]]
+        h1 = states.take(at[order], axis=0)
         k, place = k[order], self.place[y[order]]
         found = np.empty(len(y), np.float32)
         for i in range(0, len(y), _ROWS):
@@ -282,106 +331,124 @@ class Model:
         out[order] = found
         return out
 
+    @np.errstate(over="ignore")
     def gradients(self, x: np.ndarray, y: np.ndarray, on: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
         """Loss, gradients and last state of one window: words x, next words y
         and what counts, all (steps, lanes), from states h."""
         w, steps, lanes = self.w, *x.shape
-        e = w["embed"][x]
-        gates = np.matmul(w["wx"].T, e.transpose(0, 2, 1))
-        gates += w["b"][:, None]
+        self._steps()
+        e = self.table.take(x, axis=0)
+        gates = np.matmul(self.into, e.transpose(0, 2, 1))
         # States with a one beside them, which the softmax's constants go with.
         kept, states = [], np.ones((steps, lanes, STATE + 1), gates.dtype)
         # A text starts from nothing where its first input is the end before it.
-        inside = (x != self.end).astype(np.float32)[:, None, :]
-        h = np.ascontiguousarray(h.T)
-        begins = (x == self.end).any(axis=1).tolist()
+        first = x == self.end
+        begins = [np.flatnonzero(f) if any_ else None for f, any_ in zip(first, first.any(axis=1).tolist(), strict=True)]
+        h = np.array(h.T, order="C")
         for t in range(steps):
-            h, saved = self._step(gates[t], h * inside[t] if begins[t] else h)
+            if begins[t] is not None:
+                h[:, begins[t]] = 0
+            h, saved = self._step(gates[t], h)
             kept.append(saved)
             states[t, :, :STATE] = h.T
         flat, goal = states.reshape(-1, STATE + 1), y.reshape(-1)
         live = np.flatnonzero(on.reshape(-1))
         live = live[np.argsort(self.klass[goal[live]].astype(np.min_scalar_type(self.n_classes)), kind="stable")]
-        hs, ys = flat[live], goal[live]
+        hs, ys = flat.take(live, axis=0), goal[live]
         k, place = self.klass[ys], self.place[ys]
         back, safe, loss = np.empty((len(live), STATE), hs.dtype), self._fits(), 0.0
 
-        def share(edges: list[int], own: list[int], to: np.ndarray, fro: np.ndarray, at: np.ndarray, word: np.ndarray) -> np.ndarray:
+        def share(
+            edges: list[int], own: list[int], to: np.ndarray, fro: np.ndarray, at: np.ndarray, word: np.ndarray, grown: np.ndarray
+        ) -> np.ndarray:
             """Of softmaxes of one width, each over the rows between two edges and
             with its own words: what goes back to the states. Adds to the loss
-            and to the gradient of ``to``. Entries are given by their place in
-            the softmax (``at``) and among all words."""
+            and gives the gradient of ``to``, for these words. Entries are given by
+            their place in the softmax (``at``) and among all words."""
             nonlocal loss
-            first, n = edges[0], edges[-1] - edges[0]
+            first, n, width = edges[0], edges[-1] - edges[0], own[1] - own[0]
             blocks = [
                 (slice(a, b), slice(a - first, b - first), slice(v, w))
                 for (a, b), (v, w) in zip(itertools.pairwise(edges), itertools.pairwise(own), strict=True)
                 if a < b
             ]
-            p, row, b = np.empty((n, own[1] - own[0]), hs.dtype), np.arange(n), np.empty((n, STATE + 1), hs.dtype)
+            p, b = np.empty((n, width), hs.dtype), np.empty((n, STATE + 1), hs.dtype)
             for rows, mine, words in blocks:
                 np.matmul(hs[rows], to[words].T, out=p[mine])
             if not safe:
                 p -= p.max(axis=1, keepdims=True)
-            loss -= p[row, at].sum(dtype=float)
+            entry, every = np.arange(0, n * width, width) + at, p.reshape(-1)
+            chosen = every.take(entry)
+            loss -= chosen.sum(dtype=float)
             np.exp(p, out=p)
             for _, mine, words in blocks:
                 np.matmul(p[mine], fro[words], out=b[mine])
             total = b[:, STATE].copy()
-            p[row, at] -= total
+            every[entry] = np.exp(chosen) - total
             loss += np.log(total).sum(dtype=float)
             inv = (1 / total)[:, None]
             b *= inv
-            b -= fro[word]
+            b -= fro.take(word, axis=0)
             inv = hs[first : first + n] * inv
             for _, mine, words in blocks:
-                grown[words] += p[mine].T @ inv[mine]
+                np.matmul(p[mine].T, inv[mine], out=grown[words])
             return b[:, :STATE]
 
         to = np.concatenate([w["cw"].T, w["cb"][:, None]], axis=1)
         fro = np.concatenate([w["cw"].T, np.ones((self.n_classes, 1), hs.dtype)], axis=1)
-        outer = grown = np.zeros_like(to)
+        outer, grown = np.zeros_like(to), np.empty_like(to)
         for i in range(0, len(live), _ROWS):
             part = slice(i, i + _ROWS)
-            back[part] = share([i, min(i + _ROWS, len(live))], [0, self.n_classes], to, fro, k[part], k[part])
+            back[part] = share([i, min(i + _ROWS, len(live))], [0, self.n_classes], to, fro, k[part], k[part], grown)
+            outer += grown
         to = np.concatenate([w["ow"], w["ob"][:, None]], axis=1)
         fro = np.concatenate([w["ow"], np.ones((self.size, 1), hs.dtype)], axis=1)
-        inner = grown = np.zeros_like(to)
+        inner = np.zeros_like(to)
         edges, own, at = np.searchsorted(k, np.arange(len(self.members) + 1)).tolist(), self.edges.tolist(), self.at[ys]
         for low, high in self.alike:
             part = slice(edges[low], edges[high])
-            back[part] += share(edges[low : high + 1], own[low : high + 1], to, fro, place[part], at[part])
+            back[part] += share(edges[low : high + 1], own[low : high + 1], to, fro, place[part], at[part], inner)
         dh_all = np.zeros((steps * lanes, STATE), hs.dtype)
         dh_all[live] = back
         dh_all = dh_all.reshape(steps, lanes, STATE).transpose(0, 2, 1)
-        dgates, du, dwh, dh = np.empty_like(gates), np.empty_like(gates[0]), np.zeros_like(w["wh"]), np.zeros_like(h)
+        # By step: of the third gate's part from the state, then of all gates. The
+        # first three of these four belong to the state, the last three to the word.
+        every = np.empty((steps, 4 * STATE, lanes), gates.dtype)
+        dgates, dh, don = every[:, STATE:], np.zeros_like(h), np.zeros_like(self.on)
+        on = np.ascontiguousarray(np.roll(self.on, STATE, axis=0).T)
         for t in reversed(range(steps)):
             before, u, z, r, c = kept[t]
             dh += dh_all[t]
-            d, rest = dgates[t], 1 - z
+            d, rest = every[t], 1 - z
             rest *= dh
-            np.multiply(before - c, z, out=d[:STATE])
-            d[:STATE] *= rest
-            dc = np.multiply(1 - c * c, rest, out=d[2 * STATE :])
-            dcr = np.multiply(dc, r, out=du[2 * STATE :])
-            np.multiply(dcr, u[2 * STATE :], out=d[STATE : 2 * STATE])
-            d[STATE : 2 * STATE] *= 1 - r
-            du[: 2 * STATE] = d[: 2 * STATE]
-            dwh += before @ du.T
+            dz = np.subtract(c, before, out=d[STATE : 2 * STATE])
+            dz *= z
+            dz *= rest
+            dc = np.multiply(c, c, out=d[3 * STATE :])
+            np.subtract(1, dc, out=dc)
+            rest *= 0.5
+            dc *= rest
+            dcr = np.multiply(dc, r, out=d[:STATE])
+            dr = np.multiply(dcr, u[2 * STATE :], out=d[2 * STATE : 3 * STATE])
+            r -= 1
+            dr *= r
+            du = d[: 3 * STATE]
+            don += du @ before.T
             dh *= z
-            dh += w["wh"] @ du
-            if begins[t]:
-                dh *= inside[t]
-        db = (dgates.reshape(-1, lanes) @ np.ones(lanes, dgates.dtype)).reshape(steps, -1).sum(axis=0)
-        g = {"wh": dwh, "b": db, "wx": np.matmul(dgates, e).sum(axis=0).T}
+            dh += on @ du
+            if begins[t] is not None:
+                dh[:, begins[t]] = 0
+        into = np.matmul(dgates, e).sum(axis=0).T * FACTOR
+        g = {"wh": np.roll(don, -STATE, axis=0).T * FACTOR, "wx": into[:STATE], "b": into[STATE]}
         g |= {"cw": outer[:, :STATE].T, "cb": outer[:, STATE], "ow": inner[:, :STATE], "ob": inner[:, STATE]}
         g = {k: np.ascontiguousarray(v) for k, v in g.items()}
-        de = np.matmul(dgates.transpose(0, 2, 1), w["wx"].T).reshape(-1, STATE)
+        de = np.matmul(dgates.transpose(0, 2, 1), self.into[:, :STATE]).reshape(-1, STATE)
         g["embed"] = np.zeros_like(w["embed"])
         word = x.reshape(-1).astype(np.min_scalar_type(self.end))
         order = np.argsort(word, kind="stable")
-        word, first = np.unique(word[order], return_index=True)
-        g["embed"][word] = np.add.reduceat(de[order], first, axis=0)
+        word = word[order]
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        g["embed"][word[first]] = np.add.reduceat(de.take(order, axis=0), first, axis=0)
         n = max(1, len(live))
         for v in g.values():
             v /= n
@@ -419,6 +486,7 @@ class Model:
                     v -= d
 
         # The first texts say how many lanes there is work for.
+        texts = last_by_length(texts)
         first, size = [], 0
         for t in texts:
             first.append(t)
@@ -457,7 +525,7 @@ class Model:
             window = np.where(ahead < left, pool[np.minimum(start[:, None] + ahead, top - 1)], self.end).astype(np.int64)
             on = ahead[1:] < left
             start = np.minimum(start + steps, stop - 1)
-            x, y, on = window[:, :-1].T, window[:, 1:].T, on.T
+            x, y, on = (np.ascontiguousarray(a.T) for a in (window[:, :-1], window[:, 1:], on))
             _, g, h = self.gradients(x, y, on, h)
             met += np.bincount(x[on], minlength=self.size + 2)
             goals += np.bincount(self.klass[y[on]], minlength=self.n_classes)
@@ -500,12 +568,13 @@ class Model:
 
     def ready(self) -> None:
         """Tables for scoring."""
-        self.gates = self.w["embed"] @ self.w["wx"] + self.w["b"]
+        self._steps()
         self.outer = np.concatenate([self.w["cw"], self.w["cb"][None]])
         inner = np.concatenate([self.w["ow"].T, self.w["ob"][None]])
         self.inner = [np.ascontiguousarray(inner[:, a:b]) for a, b in itertools.pairwise(self.edges)]
         self.safe = self._fits()
 
+    @np.errstate(over="ignore")
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each text with its end. The texts run side
         by side in lanes of about the same length, one after another in each."""
@@ -532,11 +601,14 @@ class Model:
             running = (np.arange(t, t + steps)[:, None] < size).sum(axis=1)
             n = running[0]
             # A text starts from nothing where its first input is the end before it.
-            inside = (x != self.end).astype(np.float32)
+            first = x == self.end
+            begins = first.any(axis=1).tolist()
             states = np.ones((steps, n, STATE + 1), np.float32)
             for s, k in enumerate(running.tolist()):
-                h = h[:, :k] * inside[s, :k]
-                h = self._step(np.ascontiguousarray(self.gates[x[s, :k]].T), h)[0]
+                h = np.ascontiguousarray(h[:, :k])
+                if begins[s]:
+                    h[:, np.flatnonzero(first[s, :k])] = 0
+                h = self._step(self.into @ self.table.take(x[s, :k], axis=0).T, h)[0]
                 states[s, :k, :STATE] = h.T
             at = np.flatnonzero(np.arange(n) < running[:, None])
             logp = np.zeros(steps * n, np.float32)
@@ -587,7 +659,7 @@ class Known:
 
         def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             for batch in batches:
-                for _, _, hashes, counts in sh._chunks(batch.column(0)):
+                for _, _, hashes, counts in sh._chunks(batch.column(0), sh.piece_hashes):
                     at = words.find(hashes)
                     yield from np.split(np.where(at >= 0, at, size), np.cumsum(counts)[:-1])
 
@@ -693,7 +765,7 @@ def score(docs: DataFrame) -> DataFrame:
         base_of, rest_of = (np.append(v, 0.0) for v in (know.base(know.counts), np.where(head, 0.0, know.in_rest(know.counts))))
         number_of = np.append(np.where(head, np.arange(len(head)), know.head), know.head).astype(np.int32)
         for batch in batches:
-            chunks = list(sh._chunks(batch.column(2)))
+            chunks = list(sh._chunks(batch.column(2), sh.piece_hashes))
             if not chunks:
                 continue
             every, length = (np.concatenate([c[i] for c in chunks]) for i in (2, 3))

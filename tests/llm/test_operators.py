@@ -24,6 +24,7 @@ from screenline.llm import (
     sharding,
     token_counts,
 )
+from screenline.llm import shingles as sh
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 ODD = [(900, None), (901, ""), (902, " \n\t "), (None, "no id here"), (903, "?!? 12 34"), (904, "long " * 30_000), (905, "é" * 50)]
@@ -600,3 +601,66 @@ def test_a_long_text_alone_does_not_lead_the_network_away():
     for m in (plain, longer):
         m.ready()
     assert longer.score(short[:50]).sum() > 1.2 * plain.score(short[:50]).sum()
+
+
+def test_recurrent_training_keeps_its_lanes_busy(monkeypatch):
+    """Texts of very unlike lengths, whole: lanes end at about the same time."""
+    rng = np.random.default_rng(8)
+    m = recurrent_lm.Model(np.array([9.0, 5, 3, 2, 1]), np.array([1, 0, 1, 0, 1]), 4.0, 3.0)
+    texts = [rng.integers(0, 6, n) for n in rng.integers(1, 3000, 700)]
+    widths, step = [], recurrent_lm.Model._step
+    monkeypatch.setattr(recurrent_lm.Model, "_step", lambda self, x, h: widths.append(h.shape[1]) or step(self, x, h))
+    goals = m.train(iter(texts), 0.01)[-m.n_classes :]
+    assert goals.sum() == sum(len(t) + 1 for t in texts)
+    assert np.mean(widths) > 0.8 * max(widths)
+
+
+def test_last_texts_by_length(monkeypatch):
+    monkeypatch.setattr(recurrent_lm, "_WAIT", 12)
+    lengths = lambda ns: [len(t) for t in recurrent_lm.last_by_length(np.zeros(n, int) for n in ns)]
+    # Seven, one and one words wait at the end, with three ends.
+    assert lengths([2, 9, 4, 30, 1, 1, 7]) == [2, 9, 4, 30, 7, 1, 1]
+    assert lengths([1, 3, 2]) == [3, 2, 1]
+    assert lengths([]) == []
+
+
+def test_gates_at_their_limits():
+    """The gates as they are written out, at inputs too large for exp as well."""
+    m = recurrent_lm.Model(np.array([9.0, 5, 3]), np.array([0, 0, 0]), 4.0, 3.0)
+    m.ready()
+    rng, n = np.random.default_rng(9), recurrent_lm.STATE
+    x = rng.normal(0, 1, (40, 3 * n)).astype(np.float32) * np.repeat(np.float32([1, 1000]), 20)[:, None]
+    h = rng.uniform(-1, 1, (40, n)).astype(np.float32)
+    u = (h @ m.w["wh"]).astype(float)
+    z, r = (0.5 + 0.5 * np.tanh((x + u)[:, i : i + n] / 2) for i in (0, n))
+    want = z * h + (1 - z) * np.tanh(x[:, 2 * n :] + r * u[:, 2 * n :])
+    with np.errstate(all="raise", under="ignore"):
+        assert m.step(x, h)[0] == pytest.approx(want, abs=1e-5)
+
+
+def test_words_by_pieces():
+    """Equal hashes for equal words and no others, at all lengths and places."""
+    rng = random.Random(23)
+    words = ["".join(rng.choice("abAB\0é") for _ in range(n)) for n in [*range(1, 45), 64, 65, 200] for _ in range(4)]
+    texts = [rng.choice([" ", "\n\t ", ""]).join(rng.choices(words, k=9)) for _ in range(400)] + ["", " ", "a", "A"]
+    by_word = {}
+    for _, upto, hashes, counts in sh._chunks(pa.array(texts), sh.piece_hashes):
+        assert upto == len(texts)
+        split = [brute.words(t.translate(brute.LOWER)) for t in texts]
+        assert counts.tolist() == [len(w) for w in split]
+        for w, h in zip([w for s in split for w in s], hashes.tolist(), strict=True):
+            by_word.setdefault(w, set()).add(h)
+    assert all(len(v) == 1 for v in by_word.values())
+    assert len({h for v in by_word.values() for h in v}) == len(by_word)
+
+
+def test_company_of_words():
+    rng = np.random.default_rng(10)
+    texts = [rng.zipf(1.4, n).clip(1, 101) - 1 for n in rng.integers(0, 60, 300)]
+    want = np.zeros((100, 65))
+    for t in texts:
+        about = np.bincount(t[t < 64], minlength=64)
+        for w in set(t[t < 100].tolist()):
+            want[w] += np.append(about / max(1, np.linalg.norm(about)), 1)
+    assert recurrent_lm.company(iter(texts), 100) == pytest.approx(want, abs=1e-4)
+    assert recurrent_lm.company(iter(texts[:1]), 0).shape == (0, 1)
