@@ -96,7 +96,7 @@ class Lookup:
     """Positions of 64-bit keys, by an open table."""
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, int(len(keys) * 4).bit_length())
+        bits = max(4, int(len(keys) * 2).bit_length())
         self.mask = np.uint64((1 << bits) - 1)
         self.slot_key = np.zeros(1 << bits, np.uint64)
         self.slot_at = np.full(1 << bits, -1, np.int32)

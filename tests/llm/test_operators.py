@@ -664,3 +664,14 @@ def test_company_of_words():
             want[w] += np.append(about / max(1, np.linalg.norm(about)), 1)
     assert recurrent_lm.company(iter(texts), 100) == pytest.approx(want, abs=1e-4)
     assert recurrent_lm.company(iter(texts[:1]), 0).shape == (0, 1)
+
+
+def test_lookup_takes_few_places():
+    rng = np.random.default_rng(11)
+    keys = np.unique(rng.integers(0, 1 << 63, 1 << 12).astype(np.uint64))
+    # Some that begin at the same place, which is full.
+    keys = np.unique(np.append(keys, np.arange(1, 40, dtype=np.uint64) << np.uint64(20)))
+    table = recurrent_lm.Lookup(keys)
+    assert len(table.slot_at) <= 4 * len(keys)
+    assert (table.find(keys) == np.arange(len(keys))).all()
+    assert (table.find(keys + np.uint64(1)) == np.where(np.isin(keys + np.uint64(1), keys), np.searchsorted(keys, keys + np.uint64(1)), -1)).all()
