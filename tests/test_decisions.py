@@ -216,6 +216,31 @@ def test_a_worker_holds_no_found_phrases(spark, rows):
     assert len(got) == 300 and {r.n for r in got} == {2_000} and {r.c for r in got} == {2_000 * 4_011 + 6_890}
 
 
+@pytest.mark.parametrize("chars", [10**6, 12])
+def test_phrases_in_small_blocks(spark, rows, monkeypatch, chars):
+    """Many blocks of few phrases, in one group and in several; few columns kept."""
+    for k, v in {"BLOCK_CHARS": chars, "BLOCK_BYTES": 300, "AT_ONCE": 2, "SLICE_MET": 7, "GIVEN_ROWS": 5, "SLICE_FOUND": 10}.items():
+        monkeypatch.setattr(phrases, k, v)
+    rng = random.Random(chars)
+    base = ["alpha", "beta", "gamma", "al", "x", "é", "the", "c/d-e", "\U0001F600", "then"]
+    texts = [" ".join(rng.choices(base, k=rng.randrange(0, 9))) for _ in range(60)] + [None, ""]
+    listed = sorted({" ".join(rng.choices(base, k=rng.randrange(1, 6))) for _ in range(25)} | {"ALPHA", "é" * 9, "x" * 400})
+    d, p = rows([(i, "z", t) for i, t in enumerate(texts)], "i int, more string, text string"), rows([(t,) for t in listed], "phrase string")
+    found = phrases.match_phrases(d, F.col("text"), p, ("the",), 0, keep=["more", "i"])
+    assert found.columns == ["more", "i", "phrase"]
+    assert sorted((r.i, r.phrase) for r in found.collect()) == sorted((i, x) for i, t in enumerate(texts) if t is not None for x in plainly_matched(t, listed, {"the"}))
+
+
+def test_found_phrases_take_little_disk(spark, rows, tmp_path):
+    """300,000 rows with 6,000 phrases of 267 bytes."""
+    d = rows([(i, "some alpha and beta") for i in range(50)], "i int, text string").coalesce(1)
+    number = F.concat(*[F.translate(F.md5(F.concat("i", F.lit(f" {k}"))), "abcdef", "012345") for k in range(8)])
+    p = rows([(i,) for i in range(6_000)], "i int").select(F.concat(F.lit("alpha beta "), number).alias("phrase"))
+    phrases.match_phrases(d, F.col("text"), p, ("and",)).select("i", "phrase").write.parquet(f"{tmp_path}/found")
+    assert spark.read.parquet(f"{tmp_path}/found").count() == 300_000
+    assert sum(f.stat().st_size for f in (tmp_path / "found").glob("*.parquet")) < 10_000_000
+
+
 def test_no_phrases(spark, rows):
     d = rows([(1, "alpha")], "i int, text string")
     for few in (0, 5):
